@@ -163,7 +163,9 @@ def mapped_count(imap: Column) -> Column:
 
 def _present(imap: Column, start: Column, n: Column) -> Column:
     """Mapped values among n entries from 0-based start."""
-    return F.filter(F.slice(imap, start + 1, F.greatest(n, F.lit(0))), lambda x: x.isNotNull())
+    stop = F.least(start + n, F.size(imap))
+    at = F.transform(F.sequence(start, F.greatest(stop - 1, start)), lambda i: F.get(imap, i))
+    return F.when(stop > start, F.filter(at, lambda x: x.isNotNull())).otherwise(F.array().cast("array<int>"))
 
 
 def anchors(imap: Column, i1: Column, i2: Column, back: int, forward: Column) -> tuple[Column, Column]:
@@ -180,8 +182,7 @@ def anchor_span(imap: Column, n_mapped: Column, right: Column, i1: Column, i2: C
     width = i2 - i1 + 2
     lo = F.coalesce(before, F.greatest(F.lit(0), after - width))
     hi = F.coalesce(after, F.least(F.size(right), lo + width))
-    text = F.array_join(F.slice(right, lo + 1, F.greatest(hi - lo, F.lit(0))), " ")
-    return F.when(lo.isNotNull() & (hi > lo), F.nullif(text, F.lit("")))
+    return F.when(lo.isNotNull() & (hi > lo), F.nullif(take_words(right, lo, hi), F.lit("")))
 
 
 def inspan_bounds(imap: Column, n_mapped: Column, i1: Column, i2: Column, cap_by_map: bool, params: Params = DEFAULT) -> Column:
@@ -197,7 +198,7 @@ def inspan_bounds(imap: Column, n_mapped: Column, i1: Column, i2: Column, cap_by
 
 def take_words(words: Column, lo: Column, hi: Column) -> Column:
     """Blank-joined words[lo:hi]."""
-    return F.array_join(F.slice(words, lo + 1, F.greatest(hi - lo, F.lit(0))), " ")
+    return F.array_join(T.cut(words, lo, hi), " ")
 
 
 def texts_match(a: Column, b: Column) -> Column:

@@ -228,15 +228,24 @@ def excerpt(text: Column, start: Column, end: Column, ctx: int = DEFAULT.excerpt
     return F.concat(F.when(lo > 0, "…").otherwise(""), body, F.when(hi < F.length(text), "…").otherwise(""))
 
 
+def cut(words: Column, lo: Column, hi: Column) -> Column:
+    """words[lo:hi], picked by index.
+
+    ``slice`` copies the whole array each time it runs, which is quadratic when a
+    row is cut into many pieces.
+    """
+    picked = F.transform(F.sequence(lo, F.greatest(hi - 1, lo)), lambda i: F.get(words, i))
+    return F.when(hi > lo, picked).otherwise(F.array().cast("array<string>"))
+
+
 def left_context(tokens: Column, i: Column, k: int) -> Column:
     """Up to k tokens before index i."""
-    n = F.least(i, F.lit(k))
-    return F.array_join(F.slice(tokens, i - n + 1, n), " ")
+    return F.array_join(cut(tokens, F.greatest(i - k, F.lit(0)), i), " ")
 
 
 def right_context(tokens: Column, i: Column, k: int) -> Column:
     """Up to k tokens from index i on."""
-    return F.array_join(F.slice(tokens, i + 1, F.lit(k)), " ")
+    return F.array_join(cut(tokens, i, F.least(i + k, F.size(tokens))), " ")
 
 
 def wide_context(tokens: Column, target: Column, window: int = DEFAULT.page_context, folded: Column | None = None) -> Column:
@@ -255,8 +264,8 @@ def wide_context(tokens: Column, target: Column, window: int = DEFAULT.page_cont
     lo = F.greatest(F.lit(0), anchor - half)
     hi = F.least(n, anchor + half)
     return F.struct(
-        F.array_join(F.slice(tokens, lo + 1, anchor - lo), " ").alias("before"),
-        F.array_join(F.slice(tokens, anchor + 1, hi - anchor), " ").alias("after"),
+        F.array_join(cut(tokens, lo, anchor), " ").alias("before"),
+        F.array_join(cut(tokens, anchor, hi), " ").alias("after"),
     )
 
 

@@ -77,6 +77,11 @@ def _unit(book: Sequence[str], *more: str):
     return Window.partitionBy(*book, "unit_no", *more)
 
 
+def _unit_failed(book: Sequence[str]) -> Column:
+    """P2 per line: 1 if the unit's first line carries a failure marker."""
+    return F.max(F.when((F.col("line_no") == 0) & F.col("line").rlike(P.FAILED_MARK), 1).otherwise(0)).over(_unit(book))
+
+
 def blocks(kinds: DataFrame, book: Sequence[str] = BOOK, params: Params = DEFAULT) -> DataFrame:
     """Typed blocks of every unit, attached to the latest page marker (null: before the first).
 
@@ -87,10 +92,9 @@ def blocks(kinds: DataFrame, book: Sequence[str] = BOOK, params: Params = DEFAUL
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     k = F.col("kind")
     page = F.when(k == "page_marker", F.regexp_extract("line", r"(\d+)", 1).cast("int"))
-    failed = F.max(F.when((F.col("line_no") == 0) & F.col("line").rlike(P.FAILED_MARK), 1).otherwise(0)).over(_unit(book))
     rows = kinds.withColumn("seg", F.sum(F.when(k == "page_marker", 1).otherwise(0)).over(upto))
     rows = rows.withColumn("page_number", F.last(page, ignorenulls=True).over(upto))
-    rows = rows.withColumn("_failed", failed)
+    rows = rows.withColumn("_failed", _unit_failed(book))
     # a failed unit is one failure block, whatever else it holds
     rows = rows.filter((F.col("_failed") == 0) | (F.col("line_no") == 0))
     gone = F.col("_failed") == 1
@@ -169,8 +173,8 @@ def page_starts(kinds: DataFrame, book: Sequence[str] = BOOK) -> DataFrame:
     """Every page a unit opens, with or without content."""
     w = _unit(book).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     marker = F.col("kind") == "page_marker"
-    opened = kinds.filter(~F.col("line").rlike(P.FAILED_MARK) | (F.col("line_no") > 0)).withColumn("seg", F.sum(F.when(marker, 1).otherwise(0)).over(w))
-    return opened.filter(marker).select(*book, "unit_no", "seg", F.regexp_extract("line", r"(\d+)", 1).cast("int").alias("page_number"))
+    opened = kinds.withColumn("seg", F.sum(F.when(marker, 1).otherwise(0)).over(w)).withColumn("_failed", _unit_failed(book))
+    return opened.filter(marker & (F.col("_failed") == 0)).select(*book, "unit_no", "seg", F.regexp_extract("line", r"(\d+)", 1).cast("int").alias("page_number"))
 
 
 def pages(block_rows: DataFrame, starts: DataFrame, book: Sequence[str] = BOOK, bucket: str | None = None) -> DataFrame:

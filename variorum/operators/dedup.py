@@ -135,7 +135,7 @@ def ngrams(tokens: Column, n: int, last: bool = True) -> Column:
     """Blank-joined n-grams; ``last=False`` leaves out the final window."""
     count = F.size(tokens) - n + (1 if last else 0)
     starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i + 1, n), " "))
+    return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(tokens, i + k) for k in range(n)]))
 
 
 def repetition_loop(texts: DataFrame, text: str, keys: Sequence[str], params: Params = DEFAULT) -> DataFrame:
