@@ -42,6 +42,15 @@ _NFD_SRC, _NFD_DST, _ = _folding_table("NFD")
 _NFKD_SRC, _NFKD_DST, _NFKD_MULTI = _folding_table("NFKD")
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once.
+
+    An expression mentioned inside a lambda is evaluated again for every element;
+    bound to a lambda variable it is evaluated once per row.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip_accents(c: Column) -> Column:
     """Drop accents and every other non-ASCII character, keep case."""
     folded = F.regexp_replace(F.translate(c, _NFD_SRC, _NFD_DST), NON_ASCII, "")
@@ -168,7 +177,7 @@ def split_words(q: Column, m: Column) -> Column:
         )
         words = fold_tokens(tokens_ws(collapse_linebreaks(other)))
         pairs = F.transform(found, lambda p: F.struct(p["split"].alias("split"), F.concat(p["l"], p["r"]).alias("joined")))
-        return F.filter(pairs, lambda p: F.array_contains(words, fold(p["joined"])))
+        return let(words, lambda ws: F.filter(pairs, lambda p: F.array_contains(ws, fold(p["joined"]))))
 
     return F.array_distinct(F.concat(side(q, m), side(m, q)))
 
@@ -256,17 +265,19 @@ def wide_context(tokens: Column, target: Column, window: int = DEFAULT.page_cont
     half = window // 2
     if folded is None:
         folded = F.transform(tokens, lambda w: fold(strip_punct(w)))
-    places = F.filter(
-        F.transform(sig_words(target, 3), lambda w: F.array_position(folded, w).cast("int")), lambda i: i > 0
-    )
-    n = F.size(tokens)
-    anchor = F.coalesce(F.array_min(places) - 1, F.floor(n / 2).cast("int"))
-    lo = F.greatest(F.lit(0), anchor - half)
-    hi = F.least(n, anchor + half)
-    return F.struct(
-        F.array_join(cut(tokens, lo, anchor), " ").alias("before"),
-        F.array_join(cut(tokens, anchor, hi), " ").alias("after"),
-    )
+
+    def excerpt_of(ts: Column, fs: Column) -> Column:
+        places = F.filter(F.transform(sig_words(target, 3), lambda w: F.array_position(fs, w).cast("int")), lambda i: i > 0)
+        anchor_of = F.coalesce(F.array_min(places) - 1, F.floor(F.size(ts) / 2).cast("int"))
+        return let(
+            anchor_of,
+            lambda at: F.struct(
+                F.array_join(cut(ts, F.greatest(F.lit(0), at - half), at), " ").alias("before"),
+                F.array_join(cut(ts, at, F.least(F.size(ts), at + half)), " ").alias("after"),
+            ),
+        )
+
+    return let(F.struct(tokens.alias("t"), folded.alias("f")), lambda x: excerpt_of(x["t"], x["f"]))
 
 
 def html_escape(c: Column, attribute: bool = False) -> Column:
@@ -285,13 +296,12 @@ def parse_verdicts(raw: Column, n: Column) -> Column:
     bare = F.regexp_extract_all(raw, F.lit(r"(?U)\b([ABCU])\b"), F.lit(1))
     slots = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
 
-    def by_number(i: Column) -> Column:
-        return F.coalesce(F.try_element_at(F.filter(pairs, lambda p: p["k"] == i), F.lit(-1))["v"], F.lit("U"))
+    def by_number(ps: Column, i: Column) -> Column:
+        return F.coalesce(F.try_element_at(F.filter(ps, lambda p: p["k"] == i), F.lit(-1))["v"], F.lit("U"))
 
-    def by_place(i: Column) -> Column:
-        return F.coalesce(F.get(bare, i - 1), F.lit("U"))
-
-    return F.when(F.size(nums) > 0, F.transform(slots, by_number)).otherwise(F.transform(slots, by_place))
+    numbered = let(pairs, lambda ps: F.transform(slots, lambda i: by_number(ps, i)))
+    placed = let(bare, lambda bs: F.transform(slots, lambda i: F.coalesce(F.get(bs, i - 1), F.lit("U"))))
+    return F.when(F.size(nums) > 0, numbered).otherwise(placed)
 
 
 def display_clean(c: Column, titles: tuple[str, ...]) -> Column:
@@ -321,13 +331,10 @@ def span_id(book: Column, unit_no: Column, ordinal: Column) -> Column:
 
 def highlight(text: Column, words: Column) -> Column:
     """Tokens whose folded form is a drift word, wrapped in asterisks."""
-    return F.array_join(
-        F.transform(
-            tokens_ws(text),
-            lambda w: F.when(F.array_contains(words, fold(strip_punct(w))), F.concat(F.lit("*"), w, F.lit("*"))).otherwise(w),
-        ),
-        " ",
-    )
+    def mark(ws: Column, w: Column) -> Column:
+        return F.when(F.array_contains(ws, fold(strip_punct(w))), F.concat(F.lit("*"), w, F.lit("*"))).otherwise(w)
+
+    return F.array_join(let(words, lambda ws: F.transform(tokens_ws(text), lambda w: mark(ws, w))), " ")
 
 
 def paragraphs(c: Column) -> Column:

@@ -28,10 +28,10 @@ def trim_words(blocks: Column, offset: Column, n: Column) -> Column:
     """K1: blocks without n paragraph words from ``offset`` on; emptied paragraphs go."""
     end = offset + n
     sized = F.transform(blocks, lambda b: F.struct(b.alias("b"), F.when(b["type"] == "paragraph", T.tokens_ws(b["text"])).alias("w")))
-    sizes = F.transform(sized, lambda s: F.coalesce(F.size(s["w"]), F.lit(0)))
 
-    def cut(s: Column, i: Column) -> Column:
-        start = F.aggregate(F.slice(sizes, F.lit(1), i), F.lit(0), lambda acc, x: acc + F.greatest(x, F.lit(0)))
+    def cut(all_: Column, s: Column, i: Column) -> Column:
+        before = F.filter(F.slice(all_, F.lit(1), i), lambda x: x["w"].isNotNull())
+        start = F.aggregate(before, F.lit(0), lambda acc, x: acc + F.size(x["w"]))
         size = F.size(s["w"])
         left = F.greatest(F.lit(0), F.least(size, offset - start))
         right = F.greatest(F.lit(0), F.least(size, end - start))
@@ -43,7 +43,7 @@ def trim_words(blocks: Column, offset: Column, n: Column) -> Column:
         plain = F.struct(s["b"]["type"].alias("type"), s["b"]["text"].alias("text"))
         return F.when(s["w"].isNull(), plain).when(~gone, changed)
 
-    return F.filter(F.transform(sized, cut), lambda b: b.isNotNull())
+    return T.let(sized, lambda all_: F.filter(F.transform(all_, lambda s, i: cut(all_, s, i)), lambda b: b.isNotNull()))
 
 
 def token_set(text: Column) -> Column:
@@ -53,9 +53,9 @@ def token_set(text: Column) -> Column:
 
 def is_repeat(text: Column, prior: Column, params: Params = DEFAULT) -> Column:
     """K2: the block is long enough and close to any earlier block's token set."""
-    mine = token_set(text)
     long_enough = F.size(T.tokens_latin(text)) >= params.block_min_words
-    return long_enough & F.exists(prior, lambda p: T.overlap_similarity(p, mine) >= params.block_min_sim)
+    close = T.let(token_set(text), lambda mine: F.exists(prior, lambda p: T.overlap_similarity(p, mine) >= params.block_min_sim))
+    return long_enough & close
 
 
 def lookback_pairs(blocks: DataFrame, book: Sequence[str] = BOOK, params: Params = DEFAULT) -> DataFrame:
@@ -133,9 +133,19 @@ def duplicate_blocks(pairs: DataFrame, blocks: DataFrame, book: Sequence[str] =
 
 def ngrams(tokens: Column, n: int, last: bool = True) -> Column:
     """Blank-joined n-grams; ``last=False`` leaves out the final window."""
-    count = F.size(tokens) - n + (1 if last else 0)
-    starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(tokens, i + k) for k in range(n)]))
+
+    def windows(ts: Column) -> Column:
+        count = F.size(ts) - n + (1 if last else 0)
+        starts = F.when(count > 0, F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(ts, i + k) for k in range(n)]))
+
+    return T.let(tokens, windows)
+
+
+def repeating_ngrams(tokens: Column, n: int, repeats: int, last: bool = True) -> Column:
+    """The n-grams of a text, or none if fewer than ``repeats`` of them recur: most texts end here, inside their row."""
+    none = F.array().cast("array<string>")
+    return T.let(ngrams(tokens, n, last), lambda g: F.when(F.size(g) - F.size(F.array_distinct(g)) >= repeats, g).otherwise(none))
 
 
 def repetition_loop(texts: DataFrame, text: str, keys: Sequence[str], params: Params = DEFAULT) -> DataFrame:
@@ -145,9 +155,8 @@ def repetition_loop(texts: DataFrame, text: str, keys: Sequence[str], params: Pa
     number of n-grams with the number of distinct ones; only the others are
     exploded and counted.
     """
-    held = texts.select(*keys, ngrams(T.tokens_ws(F.col(text)), params.loop_ngram).alias("_g"))
-    held = held.filter(F.size("_g") - F.size(F.array_distinct("_g")) >= params.loop_count - 1)
-    grams = held.select(*keys, F.posexplode("_g").alias("pos", "phrase"))
+    held = repeating_ngrams(T.tokens_ws(F.col(text)), params.loop_ngram, params.loop_count - 1)
+    grams = texts.select(*keys, F.posexplode(held).alias("pos", "phrase"))
     counts = grams.groupBy(*keys, "phrase").agg(F.count("*").alias("n"), F.min("pos").alias("pos"))
     top = counts.filter(F.col("n") >= params.loop_count).groupBy(*keys).agg(F.max_by(F.struct("phrase", "n"), F.struct("n", -F.col("pos"))).alias("v"))
     return top.select(*keys, "v.phrase", "v.n")
@@ -158,9 +167,8 @@ def repeated_phrase(pages: DataFrame, text: str, keys: Sequence[str], params: Pa
 
     ``compat`` leaves out the final window of a page, as the original check does.
     """
-    held = pages.select(*keys, ngrams(T.tokens_ws(F.col(text)), params.repeat_ngram, last=not compat).alias("_g"))
-    held = held.filter(F.size("_g") > F.size(F.array_distinct("_g")))
-    grams = held.select(*keys, F.posexplode("_g").alias("pos", "phrase"))
+    held = repeating_ngrams(T.tokens_ws(F.col(text)), params.repeat_ngram, 1, last=not compat)
+    grams = pages.select(*keys, F.posexplode(held).alias("pos", "phrase"))
     w = Window.partitionBy(*keys, "phrase").orderBy("pos")
     hits = grams.withColumn("_d", F.col("pos") - F.lag("pos").over(w)).filter(F.col("_d") > params.repeat_distance)
     return hits.groupBy(*keys).agg(F.min_by("phrase", "pos").alias("phrase"), F.min("pos").alias("pos"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from variorum.functions import text as T
 from variorum.params import Chapter, Params
 
 LINES_PER_PAGE = 5
@@ -98,11 +99,14 @@ def reading_lines(reading: str, moving: bool = False) -> Column:
 
 def page_array(line_array: Column) -> Column:
     """Array of (page_number, text) of five lines each."""
-    n = F.ceil(F.size(line_array) / LINES_PER_PAGE).cast("int")
-    return F.transform(
-        F.sequence(F.lit(1), n),
-        lambda p: F.struct(p.alias("page_number"), F.array_join(F.slice(line_array, (p - 1) * LINES_PER_PAGE + 1, LINES_PER_PAGE), "\n").alias("text")),
-    )
+    def cut(ls: Column) -> Column:
+        n = F.ceil(F.size(ls) / LINES_PER_PAGE).cast("int")
+        return F.transform(
+            F.sequence(F.lit(1), n),
+            lambda p: F.struct(p.alias("page_number"), F.array_join(F.slice(ls, (p - 1) * LINES_PER_PAGE + 1, LINES_PER_PAGE), "\n").alias("text")),
+        )
+
+    return T.let(line_array, cut)
 
 
 def pages(spark: SparkSession, sf: str, reading: str | None = None, moving: bool = False) -> DataFrame:
