@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from difflib import SequenceMatcher, get_close_matches
+from difflib import Match, SequenceMatcher, get_close_matches
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -43,8 +43,60 @@ def _split(s: str) -> list[str]:
     return s.split(" ") if s else []
 
 
+class _Matcher(SequenceMatcher):
+    """``difflib``'s matcher with a longest-match scan that survives repetitive text.
+
+    The plain scan visits every pair of equal tokens; in a table or a loop that is
+    most of the square.  A match of at least k tokens is also a run of equal
+    k-grams, and those are far rarer, so long grams are tried first and single
+    tokens only when no longer match exists.  Every scan returns the same block:
+    the longest, then the earliest on the left, then the earliest on the right.
+    """
+
+    GRAMS = (8, 3)
+
+    def __init__(self, a: list[str], b: list[str]):
+        super().__init__(None, a, b, autojunk=False)
+        self._hits = {}
+        for k in self.GRAMS:
+            where: dict[tuple, list[int]] = {}
+            for j in range(len(b) - k + 1):
+                where.setdefault(tuple(b[j : j + k]), []).append(j)
+            self._hits[k] = [where.get(tuple(a[i : i + k])) for i in range(len(a) - k + 1)]
+
+    def find_longest_match(self, alo=0, ahi=None, blo=0, bhi=None):
+        ahi = len(self.a) if ahi is None else ahi
+        bhi = len(self.b) if bhi is None else bhi
+        for k in self.GRAMS:
+            found = self._by_grams(k, alo, ahi, blo, bhi)
+            if found is not None:
+                return found
+        return super().find_longest_match(alo, ahi, blo, bhi)
+
+    def _by_grams(self, k: int, alo: int, ahi: int, blo: int, bhi: int) -> Match | None:
+        hits, last = self._hits[k], bhi - k
+        best = besti = bestj = 0
+        runs: dict[int, int] = {}
+        for i in range(alo, ahi - k + 1):
+            js = hits[i]
+            if js is None:
+                runs = {}
+                continue
+            now = {}
+            for j in js:
+                if j < blo:
+                    continue
+                if j > last:
+                    break
+                n = now[j] = runs.get(j - 1, 0) + 1
+                if n > best:
+                    best, besti, bestj = n, i - n + 1, j - n + 1
+            runs = now
+        return Match(besti, bestj, best + k - 1) if best else None
+
+
 def _matcher(x: str, y: str) -> SequenceMatcher:
-    return SequenceMatcher(None, _split(x), _split(y), autojunk=False)
+    return _Matcher(_split(x), _split(y))
 
 
 def _struct_lists(rows: list, kind: pa.StructType) -> pa.ListArray:
@@ -180,9 +232,14 @@ def anchor_span(imap: Column, n_mapped: Column, right: Column, i1: Column, i2: C
     """A5: what the third reading has where the first has [i1, i2); null when unknown."""
     before, after = anchors(imap, i1, i2, params.anchor_back, F.least(F.lit(params.anchor_forward), n_mapped))
     width = i2 - i1 + 2
-    lo = F.coalesce(before, F.greatest(F.lit(0), after - width))
-    hi = F.coalesce(after, F.least(F.size(right), lo + width))
-    return F.when(lo.isNotNull() & (hi > lo), F.nullif(take_words(right, lo, hi), F.lit("")))
+
+    def bounds(x: Column) -> Column:
+        lo = F.coalesce(x["before"], F.greatest(F.lit(0), x["after"] - width))
+        hi = F.coalesce(x["after"], F.least(F.size(right), lo + width))
+        return F.struct(lo.alias("lo"), hi.alias("hi"))
+
+    at = T.let(F.struct(before.alias("before"), after.alias("after")), bounds)
+    return T.let(at, lambda x: F.when(x["lo"].isNotNull() & (x["hi"] > x["lo"]), F.nullif(take_words(right, x["lo"], x["hi"]), F.lit(""))))
 
 
 def inspan_bounds(imap: Column, n_mapped: Column, i1: Column, i2: Column, cap_by_map: bool, params: Params = DEFAULT) -> Column:
@@ -190,10 +247,14 @@ def inspan_bounds(imap: Column, n_mapped: Column, i1: Column, i2: Column, cap_by
     inside = _present(imap, i1, i2 - i1)
     reach = F.lit(params.inspan_forward)
     before, after = anchors(imap, i1, i2, params.inspan_back, F.least(reach, n_mapped) if cap_by_map else reach)
-    found = F.size(inside) > 0
-    c1 = F.when(found, F.array_min(inside)).otherwise(before)
-    c2 = F.when(found, F.array_max(inside) + 1).otherwise(after)
-    return F.when(c1.isNotNull() & c2.isNotNull(), F.struct(c1.alias("c1"), c2.alias("c2")))
+
+    def bounds(x: Column) -> Column:
+        found = F.size(x["inside"]) > 0
+        c1 = F.when(found, F.array_min(x["inside"])).otherwise(x["before"])
+        c2 = F.when(found, F.array_max(x["inside"]) + 1).otherwise(x["after"])
+        return F.when(c1.isNotNull() & c2.isNotNull(), F.struct(c1.alias("c1"), c2.alias("c2")))
+
+    return T.let(F.struct(inside.alias("inside"), before.alias("before"), after.alias("after")), bounds)
 
 
 def take_words(words: Column, lo: Column, hi: Column) -> Column:

@@ -18,7 +18,7 @@ WORD = r"[\p{L}\p{N}_]"
 NON_ASCII = r"[^\x00-\x7F]"
 WS = r"(?U)\s+"
 PAGE_NUMBER_RE = r"\[Page\s+(\d+)"
-LINEBREAK_RE = rf"({WORD}+)-\s+({WORD}+)"
+LINEBREAK_RE = rf"(?<!{WORD})({WORD}++)-\s+({WORD}+)"
 EMPTY_FOLD = "\u0001"  # stands for a token that folds to nothing
 
 

@@ -19,10 +19,12 @@ def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Even out rows before an expensive per-row step.
 
     An explicit partition count keeps adaptive execution from merging small
-    partitions again: bytes are few here, CPU per row is not.
+    partitions again: bytes are few here, CPU per row is not.  The hash of the
+    keys, not the keys, is the partitioning: on the keys themselves the shuffle
+    would be taken for the join's own and dropped.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys)
+    return df.repartition(n, F.xxhash64(*keys))
 
 
 def pair_units(q: DataFrame, m: DataFrame, book: Sequence[str] = BOOK) -> DataFrame:
