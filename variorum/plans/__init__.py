@@ -3,7 +3,9 @@
 from importlib import import_module
 from types import ModuleType
 
-_MODULES = ("text_queries", "line_queries", "assembly_queries", "join_queries", "vote_queries", "diff_queries")
+_MODULES = (
+    "text_queries", "line_queries", "assembly_queries", "join_queries", "vote_queries", "diff_queries", "edit_queries", "log_queries",
+)
 
 
 def load() -> ModuleType:

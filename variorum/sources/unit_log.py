@@ -155,7 +155,7 @@ def parse_flat(records: DataFrame, record: str, carry: Sequence[str] = ()) -> Da
 def latest_version(names: DataFrame, name: str, group: Sequence[str]) -> DataFrame:
     """The file name with the highest numeric suffix; names without one count as 0."""
     suffix = F.coalesce(F.regexp_extract(name, r"-(\d+)\.[a-z]+$", 1).try_cast("int"), F.lit(0))
-    return names.groupBy(*group).agg(F.max_by(name, F.struct(suffix, F.col(name))).alias("latest"), F.max(suffix).alias("version"))
+    return names.groupBy(*group).agg(F.max_by(name, F.struct(suffix, name)).alias("latest"), F.max(suffix).alias("version"))
 
 
 def stream_offsets(units: DataFrame, tokens: Column, group: Sequence[str], order: str, width: int) -> DataFrame:
