@@ -234,7 +234,8 @@ def anchor_span(imap: Column, n_mapped: Column, right: Column, i1: Column, i2: C
     width = i2 - i1 + 2
 
     def bounds(x: Column) -> Column:
-        lo = F.coalesce(x["before"], F.greatest(F.lit(0), x["after"] - width))
+        # greatest() skips nulls, so the missing side has to be asked for
+        lo = F.coalesce(x["before"], F.when(x["after"].isNotNull(), F.greatest(F.lit(0), x["after"] - width)))
         hi = F.coalesce(x["after"], F.least(F.size(right), lo + width))
         return F.struct(lo.alias("lo"), hi.alias("hi"))
 

@@ -159,7 +159,7 @@ def _(spark, sf):
     near = fallback.nearest_unit(pages(spark, sf).select("doc_id", "page_number"), page_index(q, BOOK), BOOK)
     from variorum.sources.unit_log import reference_text
 
-    cleaned = q.withColumn("content", reference_text(F.col("content"), PARAMS.running_titles, page_markers=True, allcaps=True))
+    cleaned = q.withColumn("content", fallback.reference_words(reference_text(F.col("content"), PARAMS.running_titles, page_markers=True, allcaps=True)))
     refs = fallback.adjacent(near, cleaned, BOOK)
     done = fallback.verify(_fallback_blocks(spark, sf), refs, BOOK, PARAMS)
     return done.select("doc_id", "page_number", "block_idx", "status", "reject_reason", F.round("confidence", 6).alias("confidence"), "text")
@@ -169,10 +169,9 @@ def _(spark, sf):
 def _(spark, sf):
     m = units(spark, sf, "m", moving=True)
     near = fallback.nearest_unit(pages(spark, sf).select("doc_id", "page_number"), page_index(m, BOOK), BOOK)
-    texts = m.withColumn("content", F.regexp_replace("content", "\n", "\n\n"))
+    texts = m.withColumn("content", fallback.reread_paragraphs(F.regexp_replace("content", "\n", "\n\n"), PARAMS))
     around = fallback.adjacent(near, texts, BOOK)
-    paras = F.flatten(F.transform("contents", lambda c: fallback.reread_paragraphs(c, PARAMS)))
-    done = fallback.recover(_fallback_blocks(spark, sf), around.select("doc_id", "page_number", paras.alias("paras")), BOOK, PARAMS)
+    done = fallback.recover(_fallback_blocks(spark, sf), around.select("doc_id", "page_number", F.flatten("contents").alias("paras")), BOOK, PARAMS)
     return done.select("doc_id", "page_number", "block_idx", "status", "text", F.round("recall", 6).alias("recall"), F.round("precision", 6).alias("prec"))
 
 
@@ -267,5 +266,6 @@ def _(spark, sf):
 def _(spark, sf):
     q = units(spark, sf, "q", moving=True)
     near = fallback.nearest_unit(pages(spark, sf).select("doc_id", "page_number"), page_index(q, BOOK), BOOK)
-    done = fallback.verify(_fallback_blocks(spark, sf), fallback.adjacent(near, q, BOOK), BOOK, PARAMS)
+    words = q.withColumn("content", fallback.reference_words(F.col("content")))
+    done = fallback.verify(_fallback_blocks(spark, sf), fallback.adjacent(near, words, BOOK), BOOK, PARAMS)
     return fallback.run_summary(done, "status", ["verified", "corrected", "unverified"])
