@@ -92,27 +92,32 @@ def _explode(units: DataFrame, spans: Column, book: Sequence[str]) -> DataFrame:
     return units.select(*book, "unit_no", "pages", F.explode(spans).alias("s")).select(*book, "unit_no", "pages", "s.*")
 
 
-def _spans(units: DataFrame, k: int, params: Params) -> Column:
-    """Array of one struct per disagreement of q and m."""
+def _spans(units: DataFrame, k: int, params: Params, finish=None) -> Column:
+    """Array of one struct per disagreement of q and m; ``finish`` may rework it inside the row."""
     fourth = "o" in units.columns
+    needed = ["ops", "q", "m", "c", "c_map", "c_mapped", *(["o", "o_map", "o_mapped"] if fourth else []), *(["c_sig"] if "c_sig" in units.columns else [])]
 
-    def span(op: Column, no: Column) -> Column:
+    def span(u: Column, op: Column, no: Column) -> Column:
         i1, i2, j1, j2 = op["i1"], op["i2"], op["j1"], op["j2"]
         fields = [
             no.alias("span_no"), i1.alias("i1"), i2.alias("i2"), j1.alias("j1"), j2.alias("j2"),
-            A.take_words(F.col("q"), i1, i2).alias("q_span"),
-            A.take_words(F.col("m"), j1, j2).alias("m_span"),
-            A.anchor_span(F.col("c_map"), F.col("c_mapped"), F.col("c"), i1, i2, params).alias("c_span"),
-            T.left_context(F.col("q"), i1, k).alias("left_ctx"),
-            T.right_context(F.col("q"), i2, k).alias("right_ctx"),
-            T.left_context(F.col("m"), j1, k).alias("m_left"),
-            T.right_context(F.col("m"), j2, k).alias("m_right"),
+            A.take_words(u["q"], i1, i2).alias("q_span"),
+            A.take_words(u["m"], j1, j2).alias("m_span"),
+            A.anchor_span(u["c_map"], u["c_mapped"], u["c"], i1, i2, params).alias("c_span"),
+            T.left_context(u["q"], i1, k).alias("left_ctx"),
+            T.right_context(u["q"], i2, k).alias("right_ctx"),
+            T.left_context(u["m"], j1, k).alias("m_left"),
+            T.right_context(u["m"], j2, k).alias("m_right"),
         ]
         if fourth:
-            fields.append(A.anchor_span(F.col("o_map"), F.col("o_mapped"), F.col("o"), i1, i2, params).alias("o_span"))
+            fields.append(A.anchor_span(u["o_map"], u["o_mapped"], u["o"], i1, i2, params).alias("o_span"))
         return F.struct(*fields)
 
-    return F.transform(A.changes(F.col("ops")), span)
+    def all_spans(u: Column) -> Column:
+        made = F.transform(A.changes(u["ops"]), lambda op, no: span(u, op, no))
+        return made if finish is None else finish(u, made)
+
+    return T.let(F.struct(*[F.col(c) for c in needed]), all_spans)
 
 
 def divergences(units: DataFrame, book: Sequence[str] = BOOK, context: int | None = None, params: Params = DEFAULT) -> DataFrame:
@@ -166,14 +171,13 @@ def enriched(units: DataFrame, book: Sequence[str] = BOOK, params: Params = DEFA
     unit's row, so only finished spans leave it.
     """
     units = units.withColumn("c_sig", F.transform("c", lambda w: T.fold(T.strip_punct(w))))
-    units = units.withColumn("_spans", _spans(units, params.report_context, params))
-    open_spans = F.filter("_spans", lambda s: P.majority_class(s["q_span"], s["m_span"], s["c_span"]) == "Q≠M≠C")
 
-    def widen(s: Column) -> Column:
-        target = F.when(s["q_span"] != "", s["q_span"]).otherwise(s["m_span"])
-        return F.struct(s.alias("s"), T.wide_context(F.col("c"), target, params.page_context, F.col("c_sig")).alias("wide"))
+    def widen(u: Column, made: Column) -> Column:
+        still_open = F.filter(made, lambda s: P.majority_class(s["q_span"], s["m_span"], s["c_span"]) == "Q≠M≠C")
+        target = lambda s: F.when(s["q_span"] != "", s["q_span"]).otherwise(s["m_span"])
+        return F.transform(still_open, lambda s: F.struct(s.alias("s"), T.wide_context(u["c"], target(s), params.page_context, u["c_sig"]).alias("wide")))
 
-    rows = units.select(*book, "unit_no", "pages", F.explode(F.transform(open_spans, widen)).alias("x"))
+    rows = units.select(*book, "unit_no", "pages", F.explode(_spans(units, params.report_context, params, widen)).alias("x"))
     rows = rows.select(*book, "unit_no", "pages", "x.s.*", F.col("x.wide.before").alias("page_ctx_before"), F.col("x.wide.after").alias("page_ctx_after"))
     q_ctx, m_ctx = F.concat_ws(" ", "left_ctx", "right_ctx"), F.concat_ws(" ", "m_left", "m_right")
     return (
