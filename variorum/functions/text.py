@@ -79,8 +79,9 @@ def fold_strong(c: Column) -> Column:
     """As N1 with compatibility forms expanded, apostrophes and edge punctuation dropped."""
     low = F.lower(c)
     t = F.translate(low, _NFKD_SRC, _NFKD_DST)
-    pairs = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(d).alias("d")) for s, d in _NFKD_MULTI if len(d) <= 4])
-    expanded = F.aggregate(pairs, t, lambda acc, p: F.replace(acc, p["s"], p["d"]))
+    # one literal, each entry a character followed by what it expands to
+    pairs = F.split(F.lit("\u0002".join(s + d for s, d in _NFKD_MULTI if len(d) <= 4)), "\u0002")
+    expanded = F.aggregate(pairs, t, lambda acc, p: F.replace(acc, F.left(p, F.lit(1)), F.substring(p, 2, 9)))
     t = F.when(t.rlike(NON_ASCII), F.regexp_replace(expanded, NON_ASCII, "")).otherwise(t)
     t = F.replace(t, F.lit("'"), F.lit(""))
     return F.regexp_replace(t, r"^\p{Punct}+|\p{Punct}+$", "")
