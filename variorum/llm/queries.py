@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-_MODULES = ("q_dedup", "q_quality")
+_MODULES = ("q_dedup", "q_quality", "q_mixing")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
