@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from variorum.functions.text import let
+
 SPACE = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -65,36 +67,34 @@ def _repeat_words(w: Column) -> Column:
     return F.transform(F.array(F.sort_array(grams)), covered)[0]
 
 
-def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The counts of each text beside its columns; null counts as empty."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    w, lines = F.col("__words"), F.col("__lines")
-    stop = lambda x: F.regexp_replace(F.lower(x), r"[.,;:!?]+$", "").isin(*STOP_WORDS)
-    cut = docs.withColumns(
-        {
-            "__words": F.filter(F.split(text, SPACE), lambda x: x != ""),
-            "__lines": F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACES, "") != ""),
+def _counts(text: Column) -> Column:
+    """struct of the counts of a text."""
+
+    def by_words(w: Column, lines: Column) -> Column:
+        stop = lambda x: F.regexp_replace(F.lower(x), r"[.,;:!?]+$", "").isin(*STOP_WORDS)
+        counts = {
+            "n_words": F.size(w),
+            "word_chars": _without(text, SPACES),
+            "n_symbols": F.length(text) - _without(text, SYMBOLS),
+            "n_lines": F.size(lines),
+            "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+            "n_repeat_words": _repeat_words(w),
+            "n_stop": F.size(F.filter(w, stop)),
+            "n_marked": F.size(F.filter(w, lambda x: x.rlike(r"[!?#*$%&|<>~^]$"))),
         }
-    )
-    counts = {
-        "n_words": F.size(w),
-        "word_chars": _without(text, SPACES),
-        "n_symbols": F.length(text) - _without(text, SYMBOLS),
-        "n_lines": F.size(lines),
-        "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
-        "n_repeat_words": _repeat_words(w),
-        "n_stop": F.size(F.filter(w, stop)),
-        "n_marked": F.size(F.filter(w, lambda x: x.rlike(r"[!?#*$%&|<>~^]$"))),
-    }
-    return cut.withColumns({k: v.cast("long") for k, v in counts.items()}).drop("__words", "__lines")
+        return F.struct(*(v.cast("long").alias(k) for k, v in counts.items()))
+
+    words = F.filter(F.split(text, SPACE), lambda x: x != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACES, "") != "")
+    return let(words, lambda w: let(lines, lambda ls: by_words(w, ls)))
 
 
-def _ratios() -> dict[str, Column]:
-    pct = lambda a, b: F.coalesce(F.try_divide(100 * F.col(a), F.col(b)), F.lit(0.0))
+def _ratios(c: Column) -> dict[str, Column]:
+    pct = lambda a, b: F.coalesce(F.try_divide(100 * c[a], c[b]), F.lit(0.0))
     return {
-        "n_words": F.col("n_words"),
+        "n_words": c["n_words"],
         "repeat_pct": pct("n_repeat_words", "n_words"),
-        "mean_word_chars": F.coalesce(F.try_divide(F.col("word_chars"), F.col("n_words")), F.lit(0.0)),
+        "mean_word_chars": F.coalesce(F.try_divide(c["word_chars"], c["n_words"]), F.lit(0.0)),
         "symbol_pct": pct("n_symbols", "word_chars"),
         "stop_pct": pct("n_stop", "n_words"),
         "dup_line_pct": pct("n_dup_lines", "n_lines"),
@@ -102,9 +102,9 @@ def _ratios() -> dict[str, Column]:
     }
 
 
-def failed(rules: tuple[Rule, ...] = RULES) -> Column:
-    """Names of the rules that a row of counts breaks, in table order."""
-    ratio = _ratios()
+def failed(counts: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Names of the rules that a struct of counts breaks, in table order."""
+    ratio = _ratios(counts)
     breaks = []
     for r in rules:
         bad = F.lit(False)
@@ -116,14 +116,28 @@ def failed(rules: tuple[Rule, ...] = RULES) -> Column:
     return F.array_compact(F.array(*breaks))
 
 
+def verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """struct(counts, failed_rules, base_failed, kept) of a text; null counts as empty.
+
+    Text, words and counts are bound inside the expression, so a filter on it costs one evaluation.
+    """
+
+    def judged(c: Column) -> Column:
+        base = (c["n_words"] < 50) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
+        row = lambda bad: F.struct(c.alias("counts"), bad.alias("failed_rules"), base.alias("base_failed"), (~base & (F.size(bad) == 0)).alias("kept"))
+        return let(failed(c, rules), row)
+
+    return let(F.coalesce(text.cast("string"), F.lit("")), lambda t: let(_counts(t), judged))
+
+
 def judge(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """docs with the counts, `failed_rules`, `base_failed` and `kept`.
 
     A null or blank text has no word and fails the word rule.  Columns of `docs` that bear a
     name of the results are replaced; rows that repeat are judged alike.
     """
-    names = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop", "n_marked", "failed_rules", "base_failed", "kept")
-    docs = docs.drop(*(n for n in names if n != text_col))
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    out = measures(docs, text_col).withColumn("failed_rules", failed(rules))
-    return out.withColumn("base_failed", base).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+    counts = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop", "n_marked")
+    names = (*counts, "failed_rules", "base_failed", "kept")
+    kept = [c for c in docs.columns if c not in names or c == text_col]
+    out = docs.select(*kept, verdict(F.col(text_col), rules).alias("__verdict"))
+    return out.select(*kept, *(F.col(f"__verdict.counts.{c}").alias(c) for c in counts), *(F.col(f"__verdict.{c}").alias(c) for c in names[len(counts):]))
