@@ -1,11 +1,12 @@
 """MinHash near-dedup: universal hash minima, banding, verification, large-star and small-star.
 
-One Arrow pass turns each text into its set's size, a 128-bit key of the set and its
-minima.  Equal sets are one class from then on, so copies never meet in a band.  In each
-band bucket every class is compared with the bucket's smallest class only; buckets that
-still hold several components afterwards compare classes of different components.  So
-every candidate pair is either tried or already linked, and a large group of copies costs
-a star, not all pairs.
+One Arrow pass turns each text into its set's size, a 128-bit key of the set, its band keys
+and a fingerprint of its minima.  Equal sets are one class from then on, so copies never
+meet in a band.  In each band bucket every class is compared with the bucket's smallest
+class only.  Buckets that still hold several components afterwards are dealt out in square
+cells of bounded size, and a cell compares its classes of different components within one
+task.  So every candidate pair is either tried or already linked; a large group of copies
+costs a star, and a large group of lookalikes makes no row per pair.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ class MinHash:
     A pair of similarity s shares a bucket with probability 1-(1-s**rows)**bands: at 0.8
     all but three in a million.  `slack` is how far the estimate from the minima may lie
     under the threshold before a pair is dismissed: over six standard deviations.
+    `cell` is about how many classes of a bucket make one side of a cell.
     """
 
     shingle: int = 5
@@ -36,6 +38,7 @@ class MinHash:
     rows: int = 5
     slack: float = 0.2
     seed: int = 7
+    cell: int = 1024
 
     @property
     def size(self) -> int:
@@ -73,7 +76,7 @@ def _minima(value: np.ndarray, first: np.ndarray, p: MinHash) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataFrame:
-    """id, n (set size), ka, kb (key of the set), sig (minima); no key for an empty set."""
+    """id, n (set size), ka, kb (key of the set), bands (bucket keys), fp (a byte of each minimum); none for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches, "text"):
@@ -81,41 +84,28 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataF
             n = np.diff(at)
             full = n > 0
             keys = [np.zeros(len(n), np.int64) for _ in range(2)]
-            sig = [None] * len(n)
+            bands, fp = [None] * len(n), [None] * len(n)
             if full.any():
                 first = at[:-1][full]
                 for k, salt in zip(keys, words.BASES, strict=True):
                     k[full] = np.add.reduceat(words.mix(value + np.uint64(salt)), first).view(np.int64)
                 minima = _minima(value, first, p)
-                for i, row in zip(np.flatnonzero(full), minima, strict=True):
-                    sig[i] = row.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n.astype(np.int64)), *(pa.array(k, mask=~full) for k in keys), pa.array(sig, pa.binary())],
-                names=["id", "n", "ka", "kb", "sig"],
-            )
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, n long, ka long, kb long, sig binary")
-
-
-def _buckets(classes: DataFrame, p: MinHash) -> DataFrame:
-    """key, id: one row per class and band."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, p.size)
-                key = np.empty((len(sig), p.bands), np.uint64)
+                key = np.empty((len(minima), p.bands), np.uint64)
                 for b in range(p.bands):
-                    h = np.full(len(sig), b + 1, np.uint64)
+                    h = np.full(len(minima), b + 1, np.uint64)
                     for r in range(p.rows):
-                        h = words.mix(h * np.uint64(words.BASES[0]) + sig[:, b * p.rows + r])
+                        h = words.mix(h * np.uint64(words.BASES[0]) + minima[:, b * p.rows + r])
                     key[:, b] = h
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), p.bands))], names=["key", "id"]
-                )
+                marks = minima.astype(np.uint8)
+                for i, k, row in zip(np.flatnonzero(full), key.view(np.int64), marks, strict=True):
+                    bands[i], fp[i] = k, row.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n.astype(np.int64)), *(pa.array(k, mask=~full) for k in keys), pa.array(bands, pa.list_(pa.int64())), pa.array(fp, pa.binary())],
+                names=["id", "n", "ka", "kb", "bands", "fp"],
+            )
 
-    return classes.select("id", "sig").mapInArrow(run, "key long, id long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, "id long, n long, ka long, kb long, bands array<long>, fp binary")
 
 
 def _close(n_a: Column, n_b: Column, p: MinHash) -> Column:
@@ -125,29 +115,36 @@ def _close(n_a: Column, n_b: Column, p: MinHash) -> Column:
 
 def _alike(pairs: DataFrame, classes: DataFrame, p: MinHash) -> DataFrame:
     """Pairs a, b whose sizes and minima allow the similarity."""
-    sides = [classes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"s_{x}")) for x in "ab"]
+    sides = [classes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("fp").alias(f"f_{x}")) for x in "ab"]
     near = pairs.join(sides[0], "a").join(sides[1], "b").filter(_close(F.col("n_a"), F.col("n_b"), p))
     least = p.percent / 100 - p.slack
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, p.size) for i in (2, 3))
+                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, p.size) for i in (2, 3))
                 yield batch.select(["a", "b"]).filter(pa.array((a == b).mean(axis=1) >= least))
 
-    return near.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+    return near.select("a", "b", "f_a", "f_b").mapInArrow(run, "a long, b long")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataFrame:
-    """Pairs whose full shingle sets reach the similarity; sets are built anew for classes in a pair only."""
+def _sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataFrame:
+    """id, members: the full sets of the given ids, built anew from their texts."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches, "text"):
             value, at = shingle_sets(batch.column(1), p.shingle)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([value[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "members"]
             )
 
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.join(ids.select("id").distinct(), "id", "left_semi").mapInArrow(run, "id long, members binary").dropDuplicates(["id"])
+
+
+def _confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataFrame:
+    """Pairs whose full shingle sets reach the similarity."""
+
     def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -157,14 +154,101 @@ def _confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, p: M
                 keep.append(100 * both >= p.percent * (len(a) + len(b) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    members = store.cut(rows.join(wanted, "id", "left_semi").mapInArrow(sets, "id long, members binary"))
+    members = store.cut(_sets(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs, id_col, text_col, p))
     sides = [members.select(F.col("id").alias(x), F.col("members").alias(f"m_{x}")) for x in "ab"]
     joined = pairs.join(sides[0], "a").join(sides[1], "b")
     return joined.select("a", "b", "m_a", "m_b").mapInArrow(same, "a long, b long")
 
 
+CELL = ["key", "lo", "hi"]
+
+
+def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one cell after another; rows come sorted by cell."""
+    held: list[pa.Table] = []
+    now = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        at = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy() for c in CELL])
+        cuts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1), batch.num_rows]
+        table = pa.Table.from_batches([batch])
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            name = tuple(at[:, i])
+            if held and name != now:
+                yield pa.concat_tables(held)
+                held = []
+            held.append(table.slice(i, j - i))
+            now = name
+    if held:
+        yield pa.concat_tables(held)
+
+
+def _facing(cell: pa.Table, p: MinHash) -> np.ndarray:
+    """Which rows of a cell may be linked by size and are not linked yet; each pair once, in one cell."""
+    n, component, block = (cell.column(c).to_numpy() for c in ("n", "component", "block"))
+    lo, hi = cell.column("lo")[0].as_py(), cell.column("hi")[0].as_py()
+    may = (100 * np.minimum.outer(n, n) >= p.percent * np.maximum.outer(n, n)) & np.not_equal.outer(component, component)
+    if lo != hi:
+        may &= np.not_equal.outer(block, block)
+    return np.triu(may, 1)
+
+
+def _lookalikes(batches: Iterator[pa.RecordBatch], p: MinHash) -> Iterator[pa.RecordBatch]:
+    """Rows of a cell that some other row resembles by the minima."""
+    least = (p.percent / 100 - p.slack) * p.size
+    for cell in _by_cell(batches):
+        may = _facing(cell, p)
+        if may.any():
+            fp = np.frombuffer(b"".join(cell.column("fp").to_pylist()), np.uint8).reshape(-1, p.size)
+            near = np.zeros(len(fp), bool)
+            for i in np.flatnonzero(may.any(axis=1)):
+                others = np.flatnonzero(may[i])
+                hit = others[(fp[others] == fp[i]).sum(axis=1) >= least]
+                near[hit] = True
+                near[i] |= len(hit) > 0
+            if near.any():
+                yield from cell.drop_columns(["fp"]).filter(pa.array(near)).combine_chunks().to_batches()
+
+
+def _linked(batches: Iterator[pa.RecordBatch], p: MinHash) -> Iterator[pa.RecordBatch]:
+    """Links a, b of a cell by the full sets, each a bit mask over the cell's shared shingles."""
+    for cell in _by_cell(batches):
+        may = _facing(cell, p)
+        ids, n = cell.column("id").to_pylist(), cell.column("n").to_pylist()
+        sets = [np.frombuffer(x, np.uint64) for x in cell.column("members").to_pylist()]
+        value, count = np.unique(np.concatenate(sets), return_counts=True)
+        value = value[count > 1]
+        masks = []
+        for x in sets:
+            bits = np.zeros(len(value), np.uint8)
+            bits[np.searchsorted(value, np.intersect1d(x, value, assume_unique=True))] = 1
+            masks.append(int.from_bytes(np.packbits(bits).tobytes(), "big"))
+        out = []
+        for i, j in zip(*np.nonzero(may), strict=True):
+            both = (masks[i] & masks[j]).bit_count()
+            if 100 * both >= p.percent * (n[i] + n[j] - both):
+                out.append((ids[i], ids[j]))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b"])
+
+
+def _rest(shared: DataFrame, found: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataFrame:
+    """Links a, b between different components that meet in a bucket."""
+    placed = shared.select("key", "id").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    size = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("many")).filter("least <> most")
+    sides = F.ceil(F.col("many") / F.lit(float(p.cell))).cast("long")
+    rows = placed.join(size.select("key", sides.alias("sides")), "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("sides")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("sides") - 1)))
+    cells = store.cut(rows.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "component"))
+    near = cells.join(classes.select("id", "n", "fp"), "id").select(*CELL, "block", "id", "component", "n", "fp")
+    near = near.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(lambda b: _lookalikes(b, p), "key long, lo long, hi long, block long, id long, component long, n long")
+    near = store.cut(near)
+    sets = store.cut(_sets(near, docs, id_col, text_col, p))
+    full = near.join(sets, "id").repartition(*CELL).sortWithinPartitions(*CELL)
+    return full.mapInArrow(lambda b: _linked(b, p), "a long, b long").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """id, component (smallest reachable id) of every id in an edge (a, b), by alternating large-star and small-star."""
     both = lambda e: e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
@@ -178,7 +262,7 @@ def components(edges: DataFrame) -> DataFrame:
         # large-star: neighbours larger than u go to the smallest of u and its neighbours
         ring = both(edges)
         low = ring.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("m"))
-        large = ring.filter("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        large = ring.filter("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         # small-star: u and its smaller neighbours go to the smallest of these
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
@@ -200,25 +284,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     full = signed.filter("n > 0")
     classes = full.groupBy("ka", "kb").agg(F.min("id").alias("rep"))
     # the row of a class's smallest id stands for it
-    one = store.cut(full.join(classes.select("ka", "kb", F.col("rep").alias("id")), ["ka", "kb", "id"], "left_semi").dropDuplicates(["id"]).select("id", "n", "sig"))
-    rows = _buckets(one, p)
+    one = full.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+    one = store.cut(one.select("id", "n", "bands", "fp"))
+    rows = one.select(F.explode("bands").alias("key"), "id")
     heads = rows.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("many")).filter("many > 1").select("key", "head")
     shared = store.cut(rows.join(heads, "key"))
     stars = store.cut(_alike(shared.filter("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b")).distinct(), one, p))
     links = store.cut(_confirm(stars, docs, id_col, text_col, p))
     found = store.cut(components(links))
-    # buckets that still hold several components: classes of different components meet
-    placed = shared.select("key", "id").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    open_ = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
-    left = store.cut(placed.join(open_, "key", "left_semi").join(one.select("id", "n"), "id"))
-    a, b = (left.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "component", "n"))) for x in "ab")
-    cross = a.join(b, "key").filter((F.col("id_a") > F.col("id_b")) & (F.col("component_a") != F.col("component_b")) & _close(F.col("n_a"), F.col("n_b"), p))
-    tried = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    fresh = cross.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    alike = store.cut(_alike(fresh, one, p))
-    if not alike.isEmpty():
-        links = links.union(_confirm(alike, docs, id_col, text_col, p))
-        found = store.cut(components(links))
+    more = store.cut(_rest(shared, found, one, docs, id_col, text_col, p))
+    if not more.isEmpty():
+        found = store.cut(components(links.union(more)))
     members = full.join(classes, ["ka", "kb"]).join(found.withColumnRenamed("id", "rep"), "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
     out = members.union(signed.filter("n = 0").select("id", "n", F.col("id").alias("component")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
