@@ -42,7 +42,7 @@ def unit_failed(content: Column) -> Column:
 
 def failed_unit_numbers(content: Column) -> Column:
     """Units named by failure markers."""
-    return F.transform(F.regexp_extract_all(content, F.lit(r"\[NEEDS_REVIEW: .+? spread (\d+)"), F.lit(1)), lambda x: x.cast("int"))
+    return F.transform(F.regexp_extract_all(content, F.lit(r"\[NEEDS_REVIEW: .+? spread (\d+)"), F.lit(1)), lambda x: x.try_cast("int"))
 
 
 def noise_pattern(kind: str, params: Params = DEFAULT) -> str:

@@ -25,7 +25,7 @@ EMPTY_FOLD = "\u0001"  # stands for a token that folds to nothing
 def _folding_table(form: str) -> tuple[str, str, tuple[tuple[str, str], ...]]:
     """Characters whose decomposition keeps an ASCII part: 1-to-1 pairs, and expansions."""
     src, dst, multi = [], [], []
-    for code in range(0x80, 0x10000):
+    for code in range(0x80, 0x110000):
         if 0xD800 <= code <= 0xDFFF:
             continue
         ch = chr(code)
@@ -40,6 +40,7 @@ def _folding_table(form: str) -> tuple[str, str, tuple[tuple[str, str], ...]]:
 
 _NFD_SRC, _NFD_DST, _ = _folding_table("NFD")
 _NFKD_SRC, _NFKD_DST, _NFKD_MULTI = _folding_table("NFKD")
+_NFKD_LONG = f"[{''.join(s for s, _ in _NFKD_MULTI)}]"
 
 
 def let(value: Column, body) -> Column:
@@ -80,9 +81,10 @@ def fold_strong(c: Column) -> Column:
     low = F.lower(c)
     t = F.translate(low, _NFKD_SRC, _NFKD_DST)
     # one literal, each entry a character followed by what it expands to
-    pairs = F.split(F.lit("\u0002".join(s + d for s, d in _NFKD_MULTI if len(d) <= 4)), "\u0002")
-    expanded = F.aggregate(pairs, t, lambda acc, p: F.replace(acc, F.left(p, F.lit(1)), F.substring(p, 2, 9)))
-    t = F.when(t.rlike(NON_ASCII), F.regexp_replace(expanded, NON_ASCII, "")).otherwise(t)
+    pairs = F.split(F.lit("\u0002".join(s + d for s, d in _NFKD_MULTI)), "\u0002")
+    expanded = F.aggregate(pairs, t, lambda acc, p: F.replace(acc, F.left(p, F.lit(1)), F.substring(p, 2, 99)))
+    t = F.when(t.rlike(_NFKD_LONG), expanded).otherwise(t)
+    t = F.when(t.rlike(NON_ASCII), F.regexp_replace(t, NON_ASCII, "")).otherwise(t)
     t = F.replace(t, F.lit("'"), F.lit(""))
     return F.regexp_replace(t, r"^\p{Punct}+|\p{Punct}+$", "")
 
@@ -184,8 +186,8 @@ def split_words(q: Column, m: Column) -> Column:
 
 
 def page_numbers(c: Column) -> Column:
-    """Page numbers named in a unit, in order."""
-    return F.transform(F.regexp_extract_all(c, F.lit(PAGE_NUMBER_RE), F.lit(1)), lambda x: x.cast("int"))
+    """Page numbers named in a unit, in order; one too long for a page number is null."""
+    return F.transform(F.regexp_extract_all(c, F.lit(PAGE_NUMBER_RE), F.lit(1)), lambda x: x.try_cast("int"))
 
 
 def page_label(pages: Column) -> Column:

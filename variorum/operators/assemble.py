@@ -91,7 +91,7 @@ def blocks(kinds: DataFrame, book: Sequence[str] = BOOK, params: Params = DEFAUL
     w = _unit(book).orderBy("line_no")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     k = F.col("kind")
-    page = F.when(k == "page_marker", F.regexp_extract("line", r"(\d+)", 1).cast("int"))
+    page = F.when(k == "page_marker", F.regexp_extract("line", r"(\d+)", 1).try_cast("int"))
     rows = kinds.withColumn("seg", F.sum(F.when(k == "page_marker", 1).otherwise(0)).over(upto))
     rows = rows.withColumn("page_number", F.last(page, ignorenulls=True).over(upto))
     rows = rows.withColumn("_failed", _unit_failed(book))
@@ -174,7 +174,7 @@ def page_starts(kinds: DataFrame, book: Sequence[str] = BOOK) -> DataFrame:
     w = _unit(book).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     marker = F.col("kind") == "page_marker"
     opened = kinds.withColumn("seg", F.sum(F.when(marker, 1).otherwise(0)).over(w)).withColumn("_failed", _unit_failed(book))
-    return opened.filter(marker & (F.col("_failed") == 0)).select(*book, "unit_no", "seg", F.regexp_extract("line", r"(\d+)", 1).cast("int").alias("page_number"))
+    return opened.filter(marker & (F.col("_failed") == 0)).select(*book, "unit_no", "seg", F.regexp_extract("line", r"(\d+)", 1).try_cast("int").alias("page_number"))
 
 
 def pages(block_rows: DataFrame, starts: DataFrame, book: Sequence[str] = BOOK, bucket: str | None = None) -> DataFrame:

@@ -11,16 +11,12 @@ from variorum.functions import align as A
 from variorum.functions import text as T
 from variorum.operators.spans import BOOK, spread
 from variorum.params import DEFAULT, Params
+from variorum.scratch import checkpoint_folder
 
 
 def _materialise(df: DataFrame) -> DataFrame:
     """Cut the plan between rounds with a reliable checkpoint."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        sc.setCheckpointDir(folder)
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 

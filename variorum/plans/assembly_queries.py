@@ -243,7 +243,7 @@ t AS (SELECT doc_id, CAST(line_no + 1 AS INTEGER) AS page_number, CASE WHEN (doc
 b AS (SELECT *, trim(text) = '' OR regexp_matches(trim(text), '^\\d+$') AS blank FROM t),
 i AS (SELECT *, sum(CASE WHEN blank THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY page_number ROWS UNBOUNDED PRECEDING) AS island FROM b),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, island, blank ORDER BY page_number) AS run FROM i)""", select="""
-SELECT doc_id, page_number AS page, 'LAYOUT' AS type, 'Multiple consecutive blank pages (run of ' || run || ')' AS notes FROM r WHERE blank AND run > 1"""))
+SELECT doc_id, page_number AS page, 'LAYOUT' AS type, 'blank page ' || run || ' of a run' AS notes FROM r WHERE blank AND run > 1"""))
 def _(spark, sf):
     n = F.col("line_no")
     text = F.when((F.col("doc_id") + F.floor(n / 3)) % 2 == 0, F.when(n % 2 == 0, "").otherwise(" 12 ")).otherwise(F.col("line"))
@@ -263,10 +263,10 @@ def _(spark, sf):
 @query("artifact_scan", "P33 N20 D20", sql(SQL_LINES, """
 t AS (SELECT doc_id, line_no, CASE (doc_id + line_no) % 5 WHEN 0 THEN '[Page LEFT 3] ' || line WHEN 1 THEN line || ' [ornamental break] tail' WHEN 2 THEN '※' || line || '※' WHEN 3 THEN 'Current text ' || line ELSE line END AS line FROM lines),
 p AS (SELECT doc_id, CAST(line_no // 5 + 1 AS INTEGER) AS page, string_agg(line, ' ' ORDER BY line_no) AS text FROM t GROUP BY doc_id, line_no // 5 + 1),
-h AS (SELECT doc_id, page, '[Page N] marker in body text' AS notes, len(regexp_extract_all(text, '(?i)\\[Page(?:\\s+LEFT|\\s+RIGHT)?\\s*\\d*\\]')) AS n FROM p
-  UNION ALL SELECT doc_id, page, 'Ornament described as text instead of rendered as image', len(regexp_extract_all(text, '(?i)\\[(?:decorative|ornamental|ornament)\\s*(?:symbol|break|element)?\\]')) FROM p
-  UNION ALL SELECT doc_id, page, '※ uncertainty marker visible to reader', len(regexp_extract_all(text, '※')) FROM p
-  UNION ALL SELECT doc_id, page, 'witness labels visible', len(regexp_extract_all(text, '(?i)\\bReading [A-Z] has\\b|\\bCurrent\\s+text\\b')) FROM p)""", select="""
+h AS (SELECT doc_id, page, 'page marker left in the text' AS notes, len(regexp_extract_all(text, '(?i)\\[Page(?:\\s+LEFT|\\s+RIGHT)?\\s*\\d*\\]')) AS n FROM p
+  UNION ALL SELECT doc_id, page, 'ornament spelled out', len(regexp_extract_all(text, '(?i)\\[(?:decorative|ornamental|ornament)\\s*(?:symbol|break|element)?\\]')) FROM p
+  UNION ALL SELECT doc_id, page, 'doubt sign left in the text', len(regexp_extract_all(text, '※')) FROM p
+  UNION ALL SELECT doc_id, page, 'name of a reading left in the text', len(regexp_extract_all(text, '(?i)\\bReading [A-Z] has\\b|\\bCurrent\\s+text\\b')) FROM p)""", select="""
 SELECT doc_id, page, notes, CAST(n AS BIGINT) AS n FROM h WHERE n > 0"""))
 def _(spark, sf):
     h, line = (F.col("doc_id") + F.col("line_no")) % 5, F.col("line")
@@ -282,13 +282,13 @@ def _(spark, sf):
 
 @query("uncertain_first_paragraph", "W17", sql(SQL_LINES, select="""
 SELECT doc_id, CAST(line_no // 5 + 1 AS INTEGER) AS page_number, line_no % 5 AS block_idx,
-  d.quality = 0 AND row_number() OVER (PARTITION BY doc_id, line_no // 5, line LIKE '%,%' ORDER BY line_no) = 1 AND line LIKE '%,%' AS marked
-FROM lines JOIN labels d USING (doc_id)"""))
+  coalesce(d.quality = 0, false) AND row_number() OVER (PARTITION BY doc_id, line_no // 5, line LIKE '%,%' ORDER BY line_no) = 1 AND line LIKE '%,%' AS marked
+FROM lines LEFT JOIN labels d USING (doc_id)"""))
 def _(spark, sf):
     from variorum.plans.corpus import table
 
     flags = table(spark, sf, "labels").select("doc_id", (F.col("quality") == 0).alias("_uncertain"))
-    rows = _line_blocks_raw(spark, sf).join(flags, "doc_id", "inner")
+    rows = _line_blocks_raw(spark, sf).join(flags, "doc_id", "left").withColumn("_uncertain", F.coalesce("_uncertain", F.lit(False)))
     return assemble.mark_first_paragraph(rows, BOOK).select("doc_id", "page_number", "block_idx", "marked")
 
 

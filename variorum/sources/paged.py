@@ -21,7 +21,7 @@ def segments(text: Column) -> Column:
     return F.transform(
         tail,
         lambda s: F.struct(
-            F.regexp_extract(s, r"^\[Page\s+(\d+)", 1).cast("int").alias("page_number"),
+            F.regexp_extract(s, r"^\[Page\s+(\d+)", 1).try_cast("int").alias("page_number"),
             F.regexp_extract(s, rf"^{MARKER}", 0).contains("(inferred)").alias("inferred"),
             F.btrim(F.regexp_replace(s, rf"^{MARKER}", ""), F.lit(" \n\r\t")).alias("text"),
         ),
@@ -40,7 +40,7 @@ def pages(texts: DataFrame, text: str, keys: Sequence[str], marker: str = "top")
         turned = F.transform(
             F.filter(_bottom(F.col(text)), lambda s: s.rlike(rf"{MARKER}$")),
             lambda s: F.struct(
-                F.regexp_extract(s, r"\[Page\s+(\d+)[^\]\n]*\]$", 1).cast("int").alias("page_number"),
+                F.regexp_extract(s, r"\[Page\s+(\d+)[^\]\n]*\]$", 1).try_cast("int").alias("page_number"),
                 F.regexp_extract(s, rf"{MARKER}$", 0).contains("(inferred)").alias("inferred"),
                 F.btrim(F.regexp_replace(s, rf"{MARKER}$", ""), F.lit(" \n\r\t")).alias("text"),
             ),

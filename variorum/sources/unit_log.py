@@ -36,7 +36,7 @@ def _parsed(record: Column) -> list[Column]:
     return [
         head[0].alias("book"),
         head[1].try_cast("int").alias("unit_no"),
-        F.nullif(head[2], F.lit("")).cast("int").alias("total"),
+        F.nullif(head[2], F.lit("")).try_cast("int").alias("total"),
         F.when(end > 0, F.btrim(body.substr(F.lit(1), end - 1), F.lit(" \n\r\t"))).alias("content"),
     ]
 
@@ -51,7 +51,10 @@ def read_blocks(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     raw = raw.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n")).alias("place"),
+        F.struct(
+            F.col("_metadata.file_modification_time").alias("written"), F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"),
+        ).alias("place"),
     )
     return raw.filter(F.col("value").rlike(HEAD_RE)).select(*_parsed(F.col("value")), "file", "place")
 
@@ -63,10 +66,9 @@ def parse_log(logs: DataFrame, log: str, carry: Sequence[str] = ()) -> DataFrame
 
 
 def complete_units(blocks: DataFrame, by: Sequence[str] = ("book", "unit_no")) -> DataFrame:
-    """Closed blocks, the last of a repeated key wins."""
+    """Closed blocks, the last of a repeated key wins: the file written last, and the later place in it."""
     closed = blocks.filter(F.col("content").isNotNull())
-    order = F.struct("file", "place") if "file" in blocks.columns else F.col("place")
-    return closed.groupBy(*by).agg(F.max_by(F.struct("total", "content"), order).alias("v")).select(*by, "v.*")
+    return closed.groupBy(*by).agg(F.max_by(F.struct("total", "content"), "place").alias("v")).select(*by, "v.*")
 
 
 def unterminated(blocks: DataFrame) -> DataFrame:
@@ -95,7 +97,7 @@ def reference_text(content: Column, titles: tuple[str, ...], page_markers: bool
 
 def page_index(units: DataFrame, book: Sequence[str] = ("book",)) -> DataFrame:
     """S3: page number to unit, the last unit naming a page wins; ``n_claims`` counts the claims."""
-    nums = F.transform(F.regexp_extract_all("content", F.lit(r"\[Page (\d+)\]"), F.lit(1)), lambda x: x.cast("int"))
+    nums = F.transform(F.regexp_extract_all("content", F.lit(r"\[Page (\d+)\]"), F.lit(1)), lambda x: x.try_cast("int"))
     claims = units.select(*book, "unit_no", F.explode(nums).alias("page_number"))
     return claims.groupBy(*book, "page_number").agg(F.max("unit_no").alias("unit_no"), F.count("*").alias("n_claims"))
 
@@ -146,8 +148,8 @@ def parse_flat(records: DataFrame, record: str, carry: Sequence[str] = ()) -> Da
     return records.filter(r.rlike(head)).select(
         *carry,
         F.regexp_extract(r, head, 1).alias("book"),
-        F.regexp_extract(r, head, 2).cast("int").alias("unit_no"),
-        F.regexp_extract(r, head, 3).cast("int").alias("total"),
+        F.regexp_extract(r, head, 2).try_cast("int").alias("unit_no"),
+        F.regexp_extract(r, head, 3).try_cast("int").alias("total"),
         F.btrim(body, F.lit(" \n\r\t")).alias("content"),
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from variorum.sources.unit_log import HEAD_RE, START, _parsed
+from variorum.sources.unit_log import HEAD_RE, START, _parsed, complete_units
 
 
 def high_water(blocks: DataFrame, book: Sequence[str] = ("book",)) -> DataFrame:
@@ -41,14 +41,17 @@ def follow(spark: SparkSession, folder: str, checkpoint: str, out: str, once: bo
     """V1/V2 as a stream: new log files in a folder become unit rows exactly once.
 
     The checkpoint remembers which files were read; within a micro-batch, and
-    against what was already written, a repeated key is kept only once.
+    against what was already written, a repeated key is kept only once: the last
+    of a batch, as in `complete_units`, unless an earlier batch had it.
     """
     raw = spark.readStream.option("lineSep", START).text(folder)
-    units = raw.filter(F.col("value").rlike(HEAD_RE)).select(*_parsed(F.col("value"))).filter(F.col("content").isNotNull())
+    meta = [F.col(f"_metadata.{c}").alias(c) for c in ("file_modification_time", "file_path", "file_block_start")]
+    units = raw.select("value", *meta).filter(F.col("value").rlike(HEAD_RE))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        fresh = batch.dropDuplicates(["book", "unit_no"])
+        place = F.struct("file_modification_time", "file_path", "file_block_start", F.monotonically_increasing_id().alias("n"))
+        fresh = complete_units(batch.select(*_parsed(F.col("value")), place.alias("place"))).select("book", "unit_no", "total", "content")
         try:
             # a batch replayed after a failure overwrites its own folder, so it is not its own past
             done = session.read.parquet(out).filter(F.col("batch") != batch_id)
