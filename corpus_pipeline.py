@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from variorum import scratch
 from variorum.llm import decontaminate, minhash, mixing, pii, quality
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -63,7 +64,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to `documents`, each but the last written and read again in the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{scratch.folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
