@@ -1,4 +1,4 @@
-"""Queries that need sequence alignment.  SQL has none, so these are compared by the tests with a plain Python run."""
+"""Queries that need sequence alignment; their oracles align by recursion in SQL."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from variorum.functions import align as A
 from variorum.functions import text as T
 from variorum.operators import assemble, dedup, fallback, rules, score, spans
+from variorum.plans.align_sql import PAGES, QC, QM, SPANS, UNITS, recursive
 from variorum.plans.corpus import PARAMS, documents, lines, pages, units
 from variorum.plans.join_queries import line_blocks
 from variorum.plans.registry import query
@@ -27,13 +28,15 @@ def divergences(spark, sf, **kw):
     return spans.divergences(aligned(spark, sf, **kw), BOOK, params=PARAMS)
 
 
-@query("diff_opcodes", "A1 A3 D11 D12")
+@query("diff_opcodes", "A1 A3 D11 D12", recursive(*UNITS, QM, QC, select="""
+SELECT doc_id, unit_no, CAST(len(q) AS INTEGER) AS n_q, coalesce(mapped, 0) AS c_mapped, op_no, tag, i1, i2, j1, j2
+FROM qm_ops JOIN al USING (k) LEFT JOIN (SELECT k, sum(n)::INT AS mapped FROM qc_mb GROUP BY k) USING (k)"""))
 def _(spark, sf):
     rows = aligned(spark, sf).select(*KEYS, F.size("q").alias("n_q"), "c_mapped", F.posexplode("ops").alias("op_no", "o"))
     return rows.select(*KEYS, "n_q", "c_mapped", "op_no", "o.tag", "o.i1", "o.i2", "o.j1", "o.j2")
 
 
-@query("majority_spans", "S2 N11 N1 J1 J2 A1 A3 A5 P24 G4 B1")
+@query("majority_spans", "S2 N11 N1 J1 J2 A1 A3 A5 P24 G4 B1", recursive(*UNITS, *SPANS, select="SELECT source, type, count(*) AS n FROM sp GROUP BY source, type"))
 def _(spark, sf):
     """Divergent spans of each majority class per source."""
     # a document belongs to one source, so the class counts of documents are summed after a join on the small side
@@ -53,7 +56,7 @@ def _(spark, sf):
     return rows.withColumn("severity", spans.severity_rank(F.col("category"))).drop("pages", "i1", "i2", "j1", "j2").withColumn("drift_words", F.array_join("drift_words", ","))
 
 
-@query("affected_units", "U7 G18 J5")
+@query("affected_units", "U7 G18 J5", recursive(*UNITS, *SPANS, select="SELECT DISTINCT doc_id, unit_no FROM sp WHERE type = 'Q≠M≠C'"))
 def _(spark, sf):
     return spans.affected_units(divergences(spark, sf, keep_unpaged=False), BOOK)
 
@@ -194,13 +197,19 @@ def _(spark, sf):
     return done.select("doc_id", "page_rank", "action", "n_trimmed", F.to_json("content_blocks").alias("blocks"))
 
 
-@query("page_compare", "P22 A2 J3 G1 S14")
+@query("page_compare", "P22 A2 J3 G1 S14", recursive(*PAGES, select="""
+SELECT doc_id, page_number, CASE WHEN len(w1) = 0 AND len(w2) = 0 THEN 'good_match' WHEN len(w1) = 0 OR len(w2) = 0 OR r < 0.7 THEN 'significant_divergence'
+  WHEN r >= 0.92 THEN 'good_match' ELSE 'minor_divergence' END AS status, round(coalesce(r, CASE WHEN len(w1) = 0 AND len(w2) = 0 THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS ratio
+FROM (SELECT pw.*, CASE WHEN len(w1) > 0 AND len(w2) > 0 THEN 2.0 * coalesce(n, 0) / (len(w1) + len(w2)) END AS r FROM pw LEFT JOIN (SELECT k, sum(n) AS n FROM pg_mb GROUP BY k) USING (k))"""))
 def _(spark, sf):
     rows = score.compare_pages(pages(spark, sf, "q", moving=True), pages(spark, sf, "m", moving=True), BOOK, PARAMS)
     return rows.select("doc_id", "page_number", "status", F.round("ratio", 6).alias("ratio"))
 
 
-@query("page_diff", "A13")
+@query("page_diff", "A13", recursive(*PAGES, """
+seg AS (SELECT k, op_no, 0 AS h, CASE tag WHEN 'equal' THEN 'match' ELSE 'del' END AS kind, array_to_string(w1[i1 + 1:i2], ' ') AS words FROM pg_ops JOIN pb USING (k) WHERE i2 > i1
+  UNION ALL SELECT k, op_no, 1, 'ins', array_to_string(w2[j1 + 1:j2], ' ') FROM pg_ops JOIN pb USING (k) WHERE tag <> 'equal' AND j2 > j1)""", select="""
+SELECT doc_id, page_number, CAST(row_number() OVER (PARTITION BY k ORDER BY op_no, h) - 1 AS INTEGER) AS seg_no, kind, words FROM seg JOIN pb USING (k)"""))
 def _(spark, sf):
     rows = score.compare_pages(pages(spark, sf, "q", moving=True), pages(spark, sf, "m", moving=True), BOOK, PARAMS)
     return score.page_diff(rows, BOOK)
