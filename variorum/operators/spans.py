@@ -92,8 +92,11 @@ def _explode(units: DataFrame, spans: Column, book: Sequence[str]) -> DataFrame:
     return units.select(*book, "unit_no", "pages", F.explode(spans).alias("s")).select(*book, "unit_no", "pages", "s.*")
 
 
-def _spans(units: DataFrame, k: int, params: Params, finish=None) -> Column:
-    """Array of one struct per disagreement of q and m; ``finish`` may rework it inside the row."""
+def _spans(units: DataFrame, k: int, params: Params, finish=None, contexts: bool = True) -> Column:
+    """Array of one struct per disagreement of q and m; ``finish`` may rework it inside the row.
+
+    Nothing prunes fields inside a lambda, so a caller that needs no contexts says so.
+    """
     fourth = "o" in units.columns
     needed = ["ops", "q", "m", "c", "c_map", "c_mapped", *(["o", "o_map", "o_mapped"] if fourth else []), *(["c_sig"] if "c_sig" in units.columns else [])]
 
@@ -104,11 +107,14 @@ def _spans(units: DataFrame, k: int, params: Params, finish=None) -> Column:
             A.take_words(u["q"], i1, i2).alias("q_span"),
             A.take_words(u["m"], j1, j2).alias("m_span"),
             A.anchor_span(u["c_map"], u["c_mapped"], u["c"], i1, i2, params).alias("c_span"),
-            T.left_context(u["q"], i1, k).alias("left_ctx"),
-            T.right_context(u["q"], i2, k).alias("right_ctx"),
-            T.left_context(u["m"], j1, k).alias("m_left"),
-            T.right_context(u["m"], j2, k).alias("m_right"),
         ]
+        if contexts:
+            fields += [
+                T.left_context(u["q"], i1, k).alias("left_ctx"),
+                T.right_context(u["q"], i2, k).alias("right_ctx"),
+                T.left_context(u["m"], j1, k).alias("m_left"),
+                T.right_context(u["m"], j2, k).alias("m_right"),
+            ]
         if fourth:
             fields.append(A.anchor_span(u["o_map"], u["o_mapped"], u["o"], i1, i2, params).alias("o_span"))
         return F.struct(*fields)
@@ -120,9 +126,9 @@ def _spans(units: DataFrame, k: int, params: Params, finish=None) -> Column:
     return T.let(F.struct(*[F.col(c) for c in needed]), all_spans)
 
 
-def divergences(units: DataFrame, book: Sequence[str] = BOOK, context: int | None = None, params: Params = DEFAULT) -> DataFrame:
+def divergences(units: DataFrame, book: Sequence[str] = BOOK, context: int | None = None, params: Params = DEFAULT, contexts: bool = True) -> DataFrame:
     """One row per disagreement of q and m, with the base's reading and the majority class."""
-    rows = _explode(units, _spans(units, params.context if context is None else context, params), book)
+    rows = _explode(units, _spans(units, params.context if context is None else context, params, contexts=contexts), book)
     return rows.withColumn("type", P.majority_class(F.col("q_span"), F.col("m_span"), F.col("c_span")))
 
 

@@ -24,8 +24,8 @@ def aligned(spark, sf, fourth=False, **kw):
     return spans.aligned(units(spark, sf, "q", moving=True), units(spark, sf, "m", moving=True), pages(spark, sf, "c", moving=True), BOOK, o, PARAMS, **kw)
 
 
-def divergences(spark, sf, **kw):
-    return spans.divergences(aligned(spark, sf, **kw), BOOK, params=PARAMS)
+def divergences(spark, sf, contexts=True, **kw):
+    return spans.divergences(aligned(spark, sf, **kw), BOOK, params=PARAMS, contexts=contexts)
 
 
 @query("diff_opcodes", "A1 A3 D11 D12", recursive(*UNITS, QM, QC, select="""
@@ -40,7 +40,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Divergent spans of each majority class per source."""
     # a document belongs to one source, so the class counts of documents are summed after a join on the small side
-    per_doc = divergences(spark, sf).groupBy("doc_id", "type").agg(F.count("*").alias("n"))
+    per_doc = divergences(spark, sf, contexts=False).groupBy("doc_id", "type").agg(F.count("*").alias("n"))
     src = documents(spark, sf).select("doc_id", "source")
     return per_doc.join(src, "doc_id", "inner").groupBy("source", "type").agg(F.sum("n").alias("n"))
 
@@ -58,7 +58,7 @@ def _(spark, sf):
 
 @query("affected_units", "U7 G18 J5", recursive(*UNITS, *SPANS, select="SELECT DISTINCT doc_id, unit_no FROM sp WHERE type = 'Q≠M≠C'"))
 def _(spark, sf):
-    return spans.affected_units(divergences(spark, sf, keep_unpaged=False), BOOK)
+    return spans.affected_units(divergences(spark, sf, contexts=False, keep_unpaged=False), BOOK)
 
 
 @query("adjudication_requests", "U6 G14")
@@ -229,7 +229,7 @@ def _(spark, sf):
 
 @query("content_diff_counts", "G3")
 def _(spark, sf):
-    rows = score.content_diff(_two_generations(spark, sf), "first", "second", BOOK, PARAMS)
+    rows = score.content_diff(_two_generations(spark, sf), "first", "second", BOOK, PARAMS, contexts=False)
     return rows.groupBy("tag").agg(F.count("*").alias("n"))
 
 
