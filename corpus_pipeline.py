@@ -26,7 +26,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup on five-word shingles: one document of each group stays."""
+    """MinHash near-dedup on five-word shingles: one document of each group stays; a row without an id goes."""
     kept = minhash.near_duplicates(docs).filter("kept").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
 
@@ -45,7 +45,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How many words of each document the mix of sources takes, beside the document."""
-    taken = mixing.mix(docs)
+    taken = mixing.mix(docs).dropDuplicates(["doc_id"])  # rows that repeat an id share one answer
     return docs.join(taken, "doc_id").select(*COLUMNS, "size", "source_size", "target", "taken")
 
 
