@@ -47,12 +47,16 @@ class Latent:
     seed: int = 5
 
 
+# features whose counts travel together
+PART = 1024
+
+
 def _feature(h: np.ndarray, p: Latent) -> np.ndarray:
     return (h >> np.uint64(20)).astype(np.int64) & (p.features - 1)
 
 
 def passage_counts(docs: DataFrame, text_col: str, p: Latent) -> DataFrame:
-    """feature, df: in how many step-long passages of the texts a term occurs; feature -1 counts the passages."""
+    """part, df: in how many step-long passages of the texts the terms of each part of the features occur; part -1 counts the passages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(p.features + 1, np.int64)
@@ -67,21 +71,35 @@ def passage_counts(docs: DataFrame, text_col: str, p: Latent) -> DataFrame:
             new[1:] = key[1:] != key[:-1]
             total[:-1] += np.bincount(key[new] & (p.features - 1), minlength=p.features)
             total[-1] += base[-1]
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.where(some == p.features, -1, some).astype(np.int32)), pa.array(total[some])], names=["feature", "df"])
+        parts = total[:-1].reshape(-1, PART)
+        some = np.flatnonzero(parts.any(axis=1))
+        names, rows = [*some.tolist(), -1], [*parts[some], total[-1:]]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(rows, pa.list_(pa.int64()))], names=["part", "df"])
+
+    rows = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "part int, df array<long>")
+    return rows.repartition("part").mapInArrow(functools.partial(_summed, names=("part", "df"), kind=pa.int64()), "part int, df array<long>")
 
-    rows = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "feature int, df long")
-    return rows.groupBy("feature").agg(F.sum("df").alias("df"))
+
+def _summed(batches: Iterator[pa.RecordBatch], names: tuple[str, str], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Arrays of one length added up by key; the keys of a partition are as few as the sizes of the space allow."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            total[k] = total.get(k, 0) + x.values.to_numpy()
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array(list(total.values()), pa.list_(kind))], names=names)
 
 
 def idf_table(counts: DataFrame, p: Latent) -> np.ndarray:
     """Inverse document frequency of every feature; `features` numbers, whatever the corpus."""
-    table = counts.toArrow()
-    feature, df = table.column("feature").to_numpy(), table.column("df").to_numpy()
-    n = df[feature == -1].sum()
-    idf = np.full(p.features, np.log1p(n), np.float32)
-    idf[feature[feature >= 0]] = np.log((n + 1) / (df[feature >= 0] + 0.5)).clip(0.05)
-    return idf
+    df = np.zeros(p.features)
+    n = 0
+    for row in counts.toArrow().to_pylist():
+        if row["part"] < 0:
+            n = row["df"][0]
+        else:
+            df[row["part"] * PART : (row["part"] + 1) * PART] = row["df"]
+    return np.log((n + 1) / (df + 0.5)).clip(0.05).astype(np.float32)
 
 
 def _passages(texts: pa.Array, p: Latent) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,16 +143,9 @@ def _sketch(items: DataFrame, idf: np.ndarray, local: np.ndarray, basis: np.ndar
         some = np.flatnonzero(out.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(list(out[some].astype(np.float64)), pa.list_(pa.float64()))], names=["row", "x"])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                total[k] = total.get(k, 0) + x.values.to_numpy()
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array(list(total.values()), pa.list_(pa.float64()))], names=["row", "x"])
-
     # the sum of a term lies in one partition; it is as many numbers as the space has dimensions
-    table = items.mapInArrow(run, "row int, x array<double>").repartition("row").mapInArrow(add, "row int, x array<double>").toArrow()
+    table = items.mapInArrow(run, "row int, x array<double>").repartition("row")
+    table = table.mapInArrow(functools.partial(_summed, names=("row", "x"), kind=pa.float64()), "row int, x array<double>").toArrow()
     out = np.zeros(basis.shape, np.float64)
     if table.num_rows:
         out[table.column("row").to_numpy()] = np.stack(table.column("x").to_numpy())

@@ -93,7 +93,7 @@ def cut(texts: pa.Array, lower: bool = False) -> Words:
     return Words(data, start, end, np.searchsorted(start, offsets))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about `most` bytes of text, one row at least."""
     for batch in batches:
         if not batch.num_rows:
