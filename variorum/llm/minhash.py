@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from variorum.llm import store, words
+from variorum.llm import sieve, store, words
 
 
 @dataclass(frozen=True)
@@ -131,15 +131,20 @@ def _alike(pairs: DataFrame, classes: DataFrame, p: MinHash) -> DataFrame:
 def _sets(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataFrame:
     """id, members: the full sets of the given ids, built anew from their texts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.slices(batches, "text"):
-            value, at = shingle_sets(batch.column(1), p.shingle)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([value[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "members"]
-            )
+    wanted = store.cut(ids.select("id").distinct())
+    some = sieve.made(wanted, "id")
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.join(ids.select("id").distinct(), "id", "left_semi").mapInArrow(run, "id long, members binary").dropDuplicates(["id"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(some.open(batch.column(2).to_numpy(zero_copy_only=False))))
+            for part in words.slices(iter([batch]), "text"):
+                value, at = shingle_sets(part.column(1), p.shingle)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([value[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["id", "members"]
+                )
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("at", some.place(F.col("id")))
+    return rows.mapInArrow(run, "id long, members binary").join(wanted, "id", "left_semi").dropDuplicates(["id"])
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, p: MinHash) -> DataFrame:
