@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from variorum.llm import store, words
+from variorum.llm import sieve, store, words
 
 
 @dataclass(frozen=True)
@@ -143,6 +143,14 @@ def duplicate_runs(docs: DataFrame, id_col: str, text_col: str, p: Parse) -> Dat
     whole = placed.filter("owner < doc").select("doc", "s", "m")
     edge = _by_doc(placed.filter("mixed and owner = doc").select("doc", "s", "m"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    edge = store.cut(edge)
+    some = sieve.made(edge, "doc")
+
+    def sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(some.open(batch.column(2).to_numpy(zero_copy_only=False)))).select(["doc", "text"])
+
+    texts = texts.filter("doc is not null").withColumn("at", some.place(F.col("doc"))).mapInArrow(sifted, "doc long, text string")
     single = store.cut(texts.join(edge, "doc").mapInArrow(lambda b: _windows(b, p), "doc long, s int, wa long, wb long"))
     first = single.groupBy("wa", "wb").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).filter("owner < last").select("wa", "wb", "owner")
     found = single.join(first, ["wa", "wb"]).filter("owner < doc").select("doc", "s", F.lit(1).alias("m"))
