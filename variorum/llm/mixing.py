@@ -26,7 +26,8 @@ class Mix:
 
     A shard's expected slots of a source are taken whole and only the remainders are drawn
     from the multinomial, which keeps its mean and nearly all of its noise out of small mixes.
-    `rows_per_bucket` is how many rows one task orders when documents are laid end to end.
+    `rows_per_bucket` is how many rows one task orders when documents are laid end to end,
+    `rows_per_task` how many blocks or slots one task makes.
     """
 
     block: int = 32
@@ -36,6 +37,7 @@ class Mix:
     seed: int = 11
     rounds: int = 16
     rows_per_bucket: int = 10_000
+    rows_per_task: int = 250_000
 
     def round_keys(self) -> list[tuple[int, int, int]]:
         rng = random.Random(self.seed)
@@ -119,9 +121,9 @@ def drawn(plan: DataFrame, p: Mix) -> DataFrame:
     return counts.withColumn("n", F.least(F.col("n"), F.greatest(p.most * F.col("blocks") - F.col("first"), F.lit(0)))).filter("n > 0").select("shard", "sid", "blocks", "first", "n")
 
 
-def slots(counts: DataFrame, p: Mix) -> DataFrame:
+def slots(counts: DataFrame, p: Mix, tasks: int) -> DataFrame:
     """shard, sid, turn, block: the block that each drawn slot takes."""
-    turn = counts.withColumn("turn", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)))
+    turn = counts.repartition(tasks).withColumn("turn", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)))
     return turn.select("shard", "sid", "turn", permuted(F.col("turn") % F.col("blocks"), F.col("blocks"), F.col("sid"), p).alias("block"))
 
 
@@ -140,10 +142,10 @@ def laid(docs: DataFrame, p: Mix, id_col: str = "doc_id", text_col: str = "text"
     return rows.select("doc_id", "size", "sid", (F.col("base") + F.col("start")).alias("start")), plan
 
 
-def segments(rows: DataFrame, p: Mix) -> DataFrame:
+def segments(rows: DataFrame, p: Mix, tasks: int) -> DataFrame:
     """Which words of which document lie in which block: doc_id, size, sid, start, block, words."""
     last = F.floor((F.col("start") + F.col("size") - 1) / F.lit(float(p.block)))
-    cut = rows.filter("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.lit(float(p.block))), last)))
+    cut = rows.filter("size > 0").repartition(tasks).withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.lit(float(p.block))), last)))
     inside = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * p.block) - F.greatest(F.col("start"), F.col("block") * p.block)
     return cut.withColumn("words", inside)
 
@@ -157,9 +159,12 @@ def mix(docs: DataFrame, params: Mix | None = None, id_col: str = "doc_id", text
     p = params or Mix()
     rows, plan = laid(docs, p, id_col, text_col, source_col)
     rows = store.cut(rows)
-    uses = slots(drawn(plan, p), p).groupBy("sid", "block").agg(F.count("*").alias("uses"))
+    # a shard's slots and a document's blocks are many rows made from one, so they are dealt out before
+    blocks = plan.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0]
+    tasks = max(1, -(-blocks // p.rows_per_task))
+    uses = slots(drawn(plan, p), p, tasks).groupBy("sid", "block").agg(F.count("*").alias("uses"))
     # rows laid from one start differ in their size, but for empty ones
-    taken = segments(rows, p).join(uses, ["sid", "block"]).groupBy("sid", "start").agg(F.sum(F.col("words") * F.col("uses")).alias("taken"))
+    taken = segments(rows, p, tasks).join(uses.hint("merge"), ["sid", "block"]).groupBy("sid", "start").agg(F.sum(F.col("words") * F.col("uses")).alias("taken"))
     out = rows.join(taken, ["sid", "start"], "left").join(plan.select("sid", "source_size", "target"), "sid")
     result = F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)).cast("long")
     return out.select(F.col("doc_id").alias(id_col), "size", "source_size", "target", result.alias("taken"))
