@@ -44,8 +44,8 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix of sources takes, beside the document."""
-    taken = mixing.mix(docs).dropDuplicates(["doc_id"])  # rows that repeat an id share one answer
+    """How many words of each document the mix of sources holds, beside the document; the mix is left in a folder `mix-*`."""
+    taken = mixing.mix(docs, out=f"{scratch.folder(spark)}/mix-{uuid.uuid4().hex}").dropDuplicates(["doc_id"])  # rows that repeat an id share one answer
     return docs.join(taken, "doc_id").select(*COLUMNS, "size", "source_size", "target", "taken")
 
 

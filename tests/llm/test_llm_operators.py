@@ -233,6 +233,50 @@ def test_mixing(docs, rows, empty):
     assert mixing.mix(empty, p).isEmpty()
 
 
+@pytest.mark.parametrize("p", [mixing.Mix(block=8, shard=64, rows_per_bucket=7), mixing.Mix(block=8, shard=64, rows_per_bucket=7, copies=1)])
+def test_mixture_holds_the_drawn_words(docs, rows, empty, tmp_path, p):
+    got = mixing.mixture(docs, p).collect()
+    again = mixing.mixture(docs.repartition(3), p).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again)) and len({(r["sid"], r["turn"]) for r in got}) == len(got)
+    names = sorted({r[3] for r in rows}, key=lambda s: (s is None, (s or "").encode()))
+    size, uses, text = Counter(), Counter(), {}
+    for r in rows:
+        size[names.index(r[3])] += len(words_of(r[1]))
+    shards, stream = Counter(r["shard"] for r in got), {}
+    for r in got:
+        uses[r["sid"], r["block"]] += 1
+        held = words_of(r["text"])
+        assert len(held) == sum(x["n"] for x in r["parts"]) == min(p.block, size[r["sid"]] - r["block"] * p.block)
+        assert text.setdefault((r["sid"], r["block"]), r["text"]) == r["text"]
+        at = r["block"] * p.block
+        for x in r["parts"]:  # a document's words lie at their place in the source
+            for k, w in enumerate(words_of(x["text"])):
+                assert stream.setdefault((r["sid"], at + k), (x["doc_id"], x["start"], w)) == (x["doc_id"], x["start"], w)
+            at += x["n"]
+    assert max(uses.values()) <= p.most and all(n <= p.shard for n in shards.values())
+    said = {}
+    for r in rows:
+        said.setdefault((r[0], names.index(r[3])), []).append(words_of(r[1]))
+    for (sid, at), (i, start, w) in stream.items():
+        assert any(0 <= at - start < len(x) and x[at - start] == w for x in said[i, sid])
+    taken = Counter()
+    for r in got:
+        for x in r["parts"]:
+            taken[x["doc_id"]] += len(words_of(x["text"]))
+    counts = Counter()
+    for r in mixing.mix(docs, p, out=f"{tmp_path}/mix").collect():
+        counts[r["doc_id"]] += r["taken"]
+    assert +counts == +taken and sorted(map(str, docs.sparkSession.read.parquet(f"{tmp_path}/mix").collect())) == sorted(map(str, got))
+    assert mixing.mixture(empty, p).isEmpty()
+
+
+def test_mixture_of_repeated_rows(spark):
+    same = [(1, "a b c d e", "s")] * 3 + [(1, " f\tg h i j ", "s"), (None, "k l", None), (None, "k l", None), (2, " \n", "s")]
+    got = mixing.mixture(spark.createDataFrame(same, "doc_id int, text string, source string"), mixing.Mix(block=4, weights=(1,), most=1)).collect()
+    held = Counter(w for r in got for w in words_of(r["text"]))
+    assert set(held.items()) <= {(w, 3) for w in "abcde"} | {(w, 1) for w in "fghij"} | {(w, 2) for w in "kl"} and sum(held.values()) >= 20
+
+
 def test_index_permutation(spark):
     for n in (1, 2, 9, 100):
         df = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n), F.lit(5), mixing.Mix()).alias("x"))

@@ -3,7 +3,8 @@
 Each source's documents are laid end to end and cut into blocks of `block` words.  Every
 output shard draws how many of its slots each source fills; a source's slots, counted over
 all shards, run through a pseudorandom permutation of its block indexes, over and over, so
-a block is used again only after all others of its source.  Built-in functions only.
+a block is used again only after all others of its source.  The blocks' texts, cut from the
+documents, are joined to the slots by index.  Built-in functions only.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from variorum.llm import store
 
 PRIME = (1 << 31) - 1
+_GAP = r"\x20\x09-\x0D"
 
 
 @dataclass(frozen=True)
@@ -27,7 +29,7 @@ class Mix:
     A shard's expected slots of a source are taken whole and only the remainders are drawn
     from the multinomial, which keeps its mean and nearly all of its noise out of small mixes.
     `rows_per_bucket` is how many rows one task orders when documents are laid end to end,
-    `rows_per_task` how many blocks or slots one task makes.
+    `rows_per_task` how many slots one task makes, `copies` how many uses of a block one task joins.
     """
 
     block: int = 32
@@ -38,6 +40,7 @@ class Mix:
     rounds: int = 16
     rows_per_bucket: int = 10_000
     rows_per_task: int = 250_000
+    copies: int = 8
 
     def round_keys(self) -> list[tuple[int, int, int]]:
         rng = random.Random(self.seed)
@@ -127,44 +130,92 @@ def slots(counts: DataFrame, p: Mix, tasks: int) -> DataFrame:
     return turn.select("shard", "sid", "turn", permuted(F.col("turn") % F.col("blocks"), F.col("blocks"), F.col("sid"), p).alias("block"))
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """doc_id, source, text and 96 bits, never null, that stand for the three."""
+    whole = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    parts = [F.col("doc_id").isNull(), F.col("source").isNull(), "doc_id", "source", "text"]
+    return whole.select("*", F.xxhash64(*parts).alias("key"), F.hash(*parts).alias("check"))
+
+
 def laid(docs: DataFrame, p: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
-    """The documents with source number and word range within their source, and the sources' plan."""
-    words = F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    sized = store.cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size")))
+    """The documents with source number and word range within their source, without text, and the sources' plan."""
+    words = F.regexp_count("text", F.lit(f"[^{_GAP}]+")).cast("long")
+    sized = store.cut(_keyed(docs, id_col, text_col, source_col).select("doc_id", "source", words.alias("size"), "key", "check"))
     plan = store.cut(sources(sized, p))
     buckets = max(1, -(-sized.count() // p.rows_per_bucket))
     rows = sized.join(plan.select("source", "sid").withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s", "source")
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
-    inside = W.partitionBy("sid", "bucket").orderBy("doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("sid", "bucket").orderBy("doc_id", "size", "key", "check").rowsBetween(W.unboundedPreceding, -1)
     before = W.partitionBy("sid").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     base = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("sum")).select("sid", "bucket", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("base"))
     rows = rows.withColumn("start", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(base, ["sid", "bucket"])
-    return rows.select("doc_id", "size", "sid", (F.col("base") + F.col("start")).alias("start")), plan
+    return rows.select("doc_id", "size", "sid", (F.col("base") + F.col("start")).alias("start"), "key", "check"), plan
 
 
-def segments(rows: DataFrame, p: Mix, tasks: int) -> DataFrame:
-    """Which words of which document lie in which block: doc_id, size, sid, start, block, words."""
-    last = F.floor((F.col("start") + F.col("size") - 1) / F.lit(float(p.block)))
-    cut = rows.filter("size > 0").repartition(tasks).withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.lit(float(p.block))), last)))
+def segments(rows: DataFrame, p: Mix) -> DataFrame:
+    """sid, block, start, doc_id, n, text: the n words of a document that lie in a block, with the space between them."""
+    pad = F.col("start") % p.block
+    # words of one letter stand for those before the document in its first block, so that each match is one block's part
+    matches = F.regexp_extract_all(F.concat(F.expr(f"repeat('x ', cast(start % {p.block} as int))"), F.col("text")), F.lit(f"(?:[^{_GAP}]++[{_GAP}]*+){{1,{p.block}}}+"), F.lit(0))
+    cut = rows.filter("size > 0").select("doc_id", "size", "sid", "start", pad.alias("pad"), F.posexplode(matches).alias("k", "part"))
+    cut = cut.withColumn("block", F.floor(F.col("start") / F.lit(float(p.block))) + F.col("k"))
+    part = F.when(F.col("k") == 0, F.expr("substring(part, cast(2 * pad + 1 as int))")).otherwise(F.col("part"))
     inside = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * p.block) - F.greatest(F.col("start"), F.col("block") * p.block)
-    return cut.withColumn("words", inside)
+    return cut.select("sid", "block", "start", "doc_id", inside.alias("n"), F.btrim(part, F.lit(" \t\n\x0b\f\r")).alias("text"))
 
 
-def mix(docs: DataFrame, params: Mix | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target, taken: one row per row of `docs`, how many of its words the mix takes.
+def _filled(docs: DataFrame, rows: DataFrame, plan: DataFrame, p: Mix, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """shard, turn, sid, block, parts: the drawn slots with what their block holds of each document, in order."""
+    counts = store.cut(drawn(plan, p))
+    # a shard's slots are many rows made from one, so they are dealt out before
+    blocks = plan.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0]
+    turns = slots(counts, p, max(1, -(-blocks // p.rows_per_task))).join(plan.select("sid", "blocks"), "sid")
+    turns = turns.withColumn("deal", F.floor(F.col("turn") / (F.col("blocks") * F.lit(float(p.copies))))).drop("blocks")
+    # a block that is used often goes to several tasks, each of which joins some of its uses
+    deals = counts.groupBy("sid", "blocks").agg(F.max(F.col("first") + F.col("n")).alias("end"))
+    deals = deals.select("sid", F.floor((F.col("end") - 1) / (F.col("blocks") * F.lit(float(p.copies)))).alias("last"))
+    # rows that repeat in all of id, source and text are paired by number
+    same = W.partitionBy("key", "check")
+    texts = _keyed(docs, id_col, text_col, source_col).select("key", "check", "text").withColumn("t", F.row_number().over(same.orderBy("key")))
+    ranges = rows.filter("size > 0").withColumn("r", F.row_number().over(same.orderBy("start")))
+    # not an equality of columns, so that both sides keep the partitioning of their window
+    pair = (texts["key"] == ranges["key"]) & (texts["check"] == ranges["check"]) & (F.col("t") - F.col("r") == 0)
+    whole = texts.join(ranges, pair).select("doc_id", "size", "sid", "start", "text")
+    parts = segments(whole, p).join(deals, "sid").withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last")))).drop("last")
+    filled = parts.groupBy("sid", "block", "deal").agg(F.sort_array(F.collect_list(F.struct("start", "doc_id", "n", "text"))).alias("parts"))
+    return turns.join(filled.hint("merge"), ["sid", "block", "deal"]).select("shard", "turn", "sid", "block", "parts")
+
+
+def mixture(docs: DataFrame, params: Mix | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """shard, turn, sid, block, parts, text: the mix, one row per slot of its output shards.
+
+    A block's parts (start, doc_id, n, text) are its documents' shares in order: where the
+    document begins in its source, and its n words in the block as they stand there; `text` is
+    the parts with a line break between them.  Every block has `block` words but for its source's
+    last.  `turn` counts a source's slots over all shards; sources are numbered as in `sources`.
+    """
+    p = params or Mix()
+    rows, plan = laid(docs, p, id_col, text_col, source_col)
+    filled = _filled(docs, rows, plan, p, id_col, text_col, source_col)
+    return filled.withColumn("text", F.array_join(F.transform("parts", lambda x: x["text"]), "\n"))
+
 
-    A null text has size 0 and is taken 0 times; a null source is a source, the last.
-    Repeated rows are documents of their own.  Other columns are not read.
+def mix(docs: DataFrame, params: Mix | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", out: str | None = None) -> DataFrame:
+    """doc_id, size, source_size, target, taken: one row per row of `docs`, how many of its words the mix holds.
+
+    The words are counted in the rows of the mix (`mixture`), which is written to the folder
+    `out` if one is given.  A null text has size 0 and is taken 0 times; a null source is a
+    source, the last.  Repeated rows are documents of their own.  Other columns are not read.
     """
     p = params or Mix()
     rows, plan = laid(docs, p, id_col, text_col, source_col)
     rows = store.cut(rows)
-    # a shard's slots and a document's blocks are many rows made from one, so they are dealt out before
-    blocks = plan.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0]
-    tasks = max(1, -(-blocks // p.rows_per_task))
-    uses = slots(drawn(plan, p), p, tasks).groupBy("sid", "block").agg(F.count("*").alias("uses"))
+    filled = _filled(docs, rows, plan, p, id_col, text_col, source_col)
+    if out is not None:
+        filled.withColumn("text", F.array_join(F.transform("parts", lambda x: x["text"]), "\n")).write.parquet(out)
+        filled = docs.sparkSession.read.parquet(out)
     # rows laid from one start differ in their size, but for empty ones
-    taken = segments(rows, p, tasks).join(uses.hint("merge"), ["sid", "block"]).groupBy("sid", "start").agg(F.sum(F.col("words") * F.col("uses")).alias("taken"))
-    out = rows.join(taken, ["sid", "start"], "left").join(plan.select("sid", "source_size", "target"), "sid")
+    taken = filled.select("sid", F.explode("parts").alias("x")).groupBy("sid", F.col("x.start").alias("start")).agg(F.sum("x.n").alias("taken"))
+    found = rows.select("doc_id", "size", "sid", "start").join(taken, ["sid", "start"], "left").join(plan.select("sid", "source_size", "target"), "sid")
     result = F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)).cast("long")
-    return out.select(F.col("doc_id").alias(id_col), "size", "source_size", "target", result.alias("taken"))
+    return found.select(F.col("doc_id").alias(id_col), "size", "source_size", "target", result.alias("taken"))

@@ -1,4 +1,4 @@
-"""Query over the mix of sources."""
+"""Queries over the mix of sources."""
 
 from __future__ import annotations
 
@@ -12,3 +12,9 @@ from variorum.llm.queries import query, table
 def mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     """How many words of every document the mix takes."""
     return mixing.mix(table(spark, sf, "documents"))
+
+
+@query("op7_mixture")
+def mixture(spark: SparkSession, sf: str) -> DataFrame:
+    """The mix itself: the text of every slot of the output shards."""
+    return mixing.mixture(table(spark, sf, "documents")).select("shard", "turn", "sid", "block", "text")
