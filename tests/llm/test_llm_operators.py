@@ -306,6 +306,22 @@ def test_urls(spark):
     assert urls.judged(df.limit(0), rules).isEmpty() and urls.judged(df, []).filter("rule is not null").isEmpty()
 
 
+def test_urls_without_a_rule_are_judged_by_a_table(spark):
+    urls_ = ["http://m.bad.com/x", "http://BAD.com/", "http://bad.com", "http://notbad.com/x", "http://bad.org/x", "http://h7.net/a/b", "http://h7.net/ab", "http://w.h5.net/a/ok/1", None]
+    pages = spark.createDataFrame(list(enumerate(urls_)), "page_id long, url string")
+    listed = spark.range(3000).selectExpr("concat('h', id, '.net/a/') AS key", "'block' AS verdict")
+    listed = listed.union(spark.createDataFrame([("bad.com/", "block"), ("bad.org/", "block"), ("h5.net/a/ok/", "allow")], "key string, verdict string"))
+    want = [(None, "block"), (None, "block"), (None, "allow"), (None, "allow"), ("org/", "allow"), (None, "block"), (None, "allow"), (None, "allow"), (None, "allow")]
+    rules = spark.createDataFrame([("org/", "allow")], "key string, verdict string")
+    for c in (urls.Cascade(), urls.Cascade(bits_per_key=2, hashes=1)):
+        for r in (rules, [("org/", "allow")]):
+            got = {x["page_id"]: (x["rule"], x["verdict"]) for x in urls.judged(pages, r, c, listed=listed).collect()}
+            assert [got[i] for i in range(len(urls_))] == want
+    for bad in ([("a.com/", "block"), ("a.com/", "allow")], [("a.com", "block")]):
+        with pytest.raises(ValueError):
+            urls.judged(pages, [], listed=bad)
+
+
 def test_cascade_is_exact(spark):
     keys = [f"k{i}" for i in range(600)]
     c = urls.Cascade(bits_per_key=64, hashes=1)

@@ -1,4 +1,4 @@
-"""Query over page addresses."""
+"""Queries over page addresses."""
 
 from __future__ import annotations
 
@@ -22,3 +22,19 @@ SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM cut LEFT
 def url_filter(spark: SparkSession, sf: str) -> DataFrame:
     """The rule and verdict of every page's address."""
     return urls.judged(table(spark, sf, "pages"), RULES)
+
+
+#: hosts of casinos, bets, link farms, pills and adult pages, with their subdomains
+BLOCKED = [(f"{name}.example.{top}/", "block") for name in ("casino-win", "free-bets", "spam-farm", "cheap-pills", "adult-x") for top in ("com", "net", "org")]
+_HOSTS = ", ".join(f"('{k[:-1]}')" for k, _ in BLOCKED)
+
+BLOCK_SQL = f"""WITH ruled AS ({URL_SQL}), listed(h) AS (VALUES {_HOSTS})
+SELECT page_id, host, path, rule, CASE WHEN rule IS NULL AND starts_with(path, '/')
+    AND EXISTS (SELECT 1 FROM listed WHERE host = h OR ends_with(host, '.' || h)) THEN 'block' ELSE verdict END AS verdict FROM ruled"""
+
+
+@query("op8_url_blocklist", BLOCK_SQL)
+def url_blocklist(spark: SparkSession, sf: str) -> DataFrame:
+    """The rule and verdict of every page's address; a block list decides where no rule fits."""
+    listed = spark.createDataFrame(BLOCKED, "key string, verdict string")
+    return urls.judged(table(spark, sf, "pages"), RULES, listed=listed)

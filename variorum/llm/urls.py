@@ -114,28 +114,30 @@ def build(listed: DataFrame, universe: DataFrame, c: Cascade) -> list[Level]:
     return levels
 
 
-def judged(pages: DataFrame, rules: list[tuple[str, str]], params: Cascade | None = None, id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
-    """id_col, host, path, rule, verdict: every URL under rules (key, verdict); no rule gives `default`.
-
-    A key is a host and the beginning of a path, such as `org/` or `com/de/`.  It fits its host
-    and all subdomains, if the path starts as it says; the longest wins.  A null URL, or one
-    without `://`, has an empty host and path and no rule.  Rows that repeat are judged alike;
-    other columns are not read.  Keys listed twice must agree.
-    """
-    c = params or Cascade()
-    spark: SparkSession = pages.sparkSession
-    rows = pages.select(F.col(id_col), F.col(url_col).cast("string").alias("url"))
-    rows = rows.select(id_col, host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    lengths = sorted({len(k) - k.index("/") for k, _ in rules})
-    if len({k for k, _ in rules}) != len(set(rules)):
+Listed = DataFrame | list[tuple[str, str]]
+
+
+def _cascades(spark: SparkSession, rows: DataFrame, table: Listed, c: Cascade) -> tuple[Column, dict[str, list[Level]]]:
+    """The keys that a host and path ask of a table (key, verdict), and for each verdict the cascade of its keys."""
+    if isinstance(table, list):
+        table = spark.createDataFrame(table, "key string, verdict string")
+    table = store.cut(table.select(F.col("key").cast("string"), F.col("verdict").cast("string")).distinct())
+    at = F.instr("key", "/")
+    if not table.filter(F.col("key").isNull() | F.col("verdict").isNull() | (at == 0)).isEmpty():
+        raise ValueError("a listed key is a host and the beginning of a path, with a verdict")
+    if not table.groupBy("key").count().filter("count > 1").isEmpty():
         raise ValueError("a key is listed with two verdicts")
+    # at most as many as the longest path has characters
+    lengths = sorted(r["n"] for r in table.select((F.length("key") - at + 1).alias("n")).distinct().collect())
     asked = keys_of(F.col("host"), F.col("path"), lengths) if lengths else F.array().cast("array<string>")
     # a host alone asks for few keys, so copies of a host and path are taken together first
     universe = rows.select("host", "path").distinct().select(F.explode(asked).alias("key"))
-    cascades = {}
-    for verdict in sorted({v for _, v in rules}):
-        listed = spark.createDataFrame([(k,) for k, v in rules if v == verdict], "key string")
-        cascades[verdict] = build(listed, universe, c)
+    verdicts = sorted(r["verdict"] for r in table.select("verdict").distinct().collect())
+    return asked, {v: build(table.filter(F.col("verdict") == v), universe, c) for v in verdicts}
+
+
+def _hit(asked: Column, cascades: dict[str, list[Level]], c: Cascade) -> Column:
+    """The first of the keys that is listed, with its verdict; null if none is."""
 
     def fit(key: Column) -> Column:
         said = F.lit(None).cast("string")
@@ -143,6 +145,25 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]], params: Cascade | Non
             said = F.when(member(key, levels, c), F.lit(verdict)).otherwise(said)
         return F.struct(key.alias("rule"), said.alias("verdict"))
 
-    first = let(asked, lambda keys: F.get(F.filter(F.transform(keys, fit), lambda x: x["verdict"].isNotNull()), F.lit(0)))
-    out = rows.select(id_col, "host", "path", first.alias("hit"))
-    return out.select(id_col, "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", F.lit(default)).alias("verdict"))
+    return let(asked, lambda keys: F.get(F.filter(F.transform(keys, fit), lambda x: x["verdict"].isNotNull()), F.lit(0)))
+
+
+def judged(pages: DataFrame, rules: Listed, params: Cascade | None = None, id_col: str = "page_id", url_col: str = "url", default: str = "allow", listed: Listed | None = None) -> DataFrame:
+    """id_col, host, path, rule, verdict: every URL under rules (key, verdict).
+
+    A key is a host and the beginning of a path, such as `org/` or `com/de/`.  It fits its host
+    and all subdomains, if the path starts as it says; the longest wins.  Where no rule fits,
+    the longest key of `listed` that fits gives the verdict, with a null rule; where none does,
+    `default`.  Rules and `listed` are DataFrames (key, verdict) or lists of pairs.  A null URL,
+    or one without `://`, has an empty host and path and no rule.  Rows that repeat are judged
+    alike; other columns are not read.  Keys listed twice in one table must agree.
+    """
+    c = params or Cascade()
+    spark: SparkSession = pages.sparkSession
+    rows = pages.select(F.col(id_col), F.col(url_col).cast("string").alias("url"))
+    rows = rows.select(id_col, host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    out = rows.select(id_col, "host", "path", _hit(*_cascades(spark, rows, rules, c), c).alias("hit"))
+    rest = F.lit(None).cast("string")
+    if listed is not None:
+        rest = F.when(F.col("hit").isNull(), _hit(*_cascades(spark, rows, listed, c), c)["verdict"])
+    return out.select(id_col, "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", rest, F.lit(default)).alias("verdict"))
