@@ -16,9 +16,14 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-# odd bases of the polynomial word hashes; any odd numbers do
+# seeds of the word hashes; any two numbers do
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: modulus of the polynomials: a prime, so that no word's structure cancels whatever the base
+PRIME = (1 << 31) - 1
+_P, _BITS = np.uint64(PRIME), np.uint64(31)
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+#: which bits of a lane the first 0 to 8 bytes are
+_LANE = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -29,16 +34,31 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def _folded(x: np.ndarray) -> np.ndarray:
+    """A number under 2**33 that equals x modulo the prime."""
+    return (x & _P) + (x >> _BITS)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime."""
+    x = _folded(_folded(x))
+    return np.where(x >= _P, x - _P, x)
+
+
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64, for i up to n; kept per process."""
+    """base**i and base**-i modulo the prime, for i up to n; kept per process."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) <= n:
         size = max(n + 1, 1 << 16)
         out = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            out.append(np.multiply.accumulate(p))
+        for b in (base, pow(base, -1, PRIME)):
+            p = np.ones(size, np.uint64)
+            have_n = 1
+            while have_n < size:
+                more = min(have_n, size - have_n)
+                p[have_n : have_n + more] = _reduced(p[:more] * np.uint64(pow(b, have_n, PRIME)))
+                have_n += more
+            out.append(p)
         have = out[0], out[1]
         if size <= 1 << 22:
             _POWERS[base] = have
@@ -46,12 +66,19 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def spans_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
-    """64-bit hash of values[start:end] for each pair, by one running polynomial."""
+    """64-bit hash of values[start:end] for each pair, by two running polynomials modulo a prime.
+
+    Values are hashes of 64 bits, of which each polynomial takes other 31 bits.
+    """
     n = len(values)
-    up, down = powers(base, n)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * up[:n], out=total[1:])
-    return mix((total[end] - total[start]) * down[start])
+    halves = []
+    for side in range(2):
+        up, down = powers((base >> (31 * side)) % (PRIME - 2) + 2, n)
+        part = (values >> np.uint64(2 + 31 * side)) & _P
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(_folded(part * up[:n]), out=total[1:])
+        halves.append(_reduced(_reduced(total[end] - total[start]) * down[start]))
+    return mix((halves[0] << _BITS | halves[1]) ^ np.uint64(base))
 
 
 @dataclass
@@ -64,7 +91,20 @@ class Words:
     first: np.ndarray  # one more than there are texts
 
     def hash(self, base: int = BASES[0]) -> np.ndarray:
-        return spans_hash(self.data.astype(np.uint64) + np.uint64(1), self.start, self.end, base)
+        """A 64-bit hash of each word: the sum of its mixed lanes of eight bytes, each mixed with its place."""
+        n = len(self.start)
+        if not n:
+            return np.zeros(0, np.uint64)
+        size = self.end - self.start
+        lanes = (size + 7) >> 3
+        first = np.cumsum(lanes) - lanes
+        owner = np.repeat(np.arange(n), lanes)
+        place = np.arange(len(owner)) - first[owner]
+        at = self.start[owner] + 8 * place
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        value = np.ndarray((len(self.data) + 1,), "<u8", padded, 0, (1,))[at] & _LANE[np.minimum(self.end[owner] - at, 8)]
+        value = mix(mix(value + np.uint64(base)) + place.astype(np.uint64) * _M1)
+        return mix(np.add.reduceat(value, first) + size.astype(np.uint64) * _M2)
 
 
 def cut(texts: pa.Array, lower: bool = False) -> Words:
