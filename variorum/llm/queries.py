@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-_MODULES = ("q_dedup", "q_quality", "q_mixing", "q_pii", "q_decontaminate", "q_substrings", "q_secrets", "q_urls", "q_langid", "q_licenses", "q_pagetext")
+_MODULES = ("q_dedup", "q_quality", "q_mixing", "q_pii", "q_decontaminate", "q_substrings", "q_secrets", "q_urls", "q_langid", "q_licenses", "q_pagetext", "q_tokens", "q_phrases")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -107,8 +107,8 @@ class Words:
         return mix(np.add.reduceat(value, first) + size.astype(np.uint64) * _M2)
 
 
-def cut(texts: pa.Array, lower: bool = False) -> Words:
-    """The words of every text of an Arrow string array; null has none."""
+def cut(texts: pa.Array, lower: bool = False, gap: np.ndarray = _SPACE) -> Words:
+    """The words of every text of an Arrow string array, cut at the bytes of `gap`; null has none."""
     texts = texts.cast(pa.large_string())
     n = len(texts)
     offsets = np.frombuffer(texts.buffers()[1], np.int64, n + 1, texts.offset * 8)
@@ -119,8 +119,8 @@ def cut(texts: pa.Array, lower: bool = False) -> Words:
     if texts.null_count:  # what lies under a null does not count
         gone = np.flatnonzero(texts.is_null().to_numpy(zero_copy_only=False))
         if any(offsets[i] < offsets[i + 1] for i in gone):
-            return cut(pa.array([None if x is None else x for x in texts.to_pylist()], pa.large_string()), lower)
-    word = ~_SPACE[data]
+            return cut(pa.array([None if x is None else x for x in texts.to_pylist()], pa.large_string()), lower, gap)
+    word = ~gap[data]
     if lower:
         data = _LOWER[data]
     opens, closes = word.copy(), word.copy()
