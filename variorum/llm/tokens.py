@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections import Counter as Multiset
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -108,12 +109,9 @@ def vocabularies(p: Align) -> Files:
 
 
 def linkable(e: Encoders) -> int:
-    """How many pairs of tokens can end together at all: one is the end of the other."""
-    a, b = {x for x in e.bytes_a if x}, {x for x in e.bytes_b if x}
-    ends = lambda x, y: sum(t[k:] in y for t in x for k in range(len(t)))
-    # a piece may have the bytes of another, such as a byte and its letter
-    copies = max(sum(1 for t in e.bytes_b if t) - len(b), 0) + len(e.bytes_b) - len(b)
-    return ends(a, b) + ends(b, a) + copies * len(a)
+    """How many pairs of ids can end together at all: one token is the end of the other."""
+    first, second = set(e.bytes_a), Multiset(e.bytes_b)
+    return sum(second[t[k:]] for t in e.bytes_a for k in range(len(t))) + sum(t[k:] in first for t in e.bytes_b for k in range(1, len(t)))
 
 
 def groups(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, block: int) -> Iterator[tuple[int, int]]:
