@@ -6,7 +6,8 @@ of the cascade holds the listed keys; level 1 the keys of the corpus's whole key
 that level 0 takes by mistake; level 2 the listed keys that level 1 takes by mistake, and so
 on until no mistake is left.  So the answer is exact for every key of the universe, and the
 filters go along as literals.  Their size is known from the number of keys before they are
-made, and is checked.  Built-in functions only.
+made, and is checked; a list whose filters would be too large is joined by key instead, to the
+same result.  Built-in functions only.
 """
 
 from __future__ import annotations
@@ -26,12 +27,16 @@ PIECE = 32768
 
 @dataclass(frozen=True)
 class Cascade:
-    """Bits for each key and hashes on each level, and the most bits that may go along as literals."""
+    """Bits for each key and hashes on each level; the most bits that may go along as literals, levels and verdicts.
+
+    A list beyond any of these is joined by key.
+    """
 
     bits_per_key: int = 10
     hashes: int = 5
     most_bits: int = 1 << 26
     most_levels: int = 64
+    most_verdicts: int = 16
 
 
 @dataclass(frozen=True)
@@ -69,11 +74,14 @@ def _places(key: Column, level: int, bits: int, hashes: int) -> list[Column]:
     return [F.pmod(a + b * i, F.lit(bits).cast("long")) for i in range(hashes)]
 
 
+def _bits(n: int, c: Cascade) -> int:
+    """The bits of a filter of n keys."""
+    return max(64, n * c.bits_per_key)
+
+
 def _level(keys: DataFrame, level: int, n: int, c: Cascade) -> Level:
     """The filter of n keys; its bits are counted before, its pieces made by Spark's bitmap aggregate."""
-    bits = max(64, n * c.bits_per_key)
-    if bits > c.most_bits:
-        raise ValueError(f"a filter of {n} keys takes {bits} bits, more than {c.most_bits}; raise most_bits or join by key")
+    bits = _bits(n, c)
     at = keys.select(F.explode(F.array(*_places(F.col("key"), level, bits, c.hashes))).alias("at"))
     rows = at.groupBy(F.floor(F.col("at") / F.lit(float(PIECE))).alias("piece")).agg(F.bitmap_construct_agg((F.col("at") % PIECE)).alias("bits"))
     return Level(bits, {r["piece"]: bytes(r["bits"]) for r in rows.collect()})  # at most most_bits / PIECE rows
@@ -98,16 +106,19 @@ def member(key: Column, levels: list[Level], c: Cascade) -> Column:
     return out
 
 
-def build(listed: DataFrame, universe: DataFrame, c: Cascade) -> list[Level]:
-    """The cascade of the listed keys over the universe of keys; both are tables of `key`."""
+def build(listed: DataFrame, universe: DataFrame, c: Cascade) -> list[Level] | None:
+    """The cascade of the listed keys over the universe of keys; both are tables of `key`.
+
+    None if its filters together would take more than `most_bits`, or it more than `most_levels`.
+    """
     listed = store.cut(listed.select("key").distinct())
     # all keys of the universe that are not listed; only level 0's mistakes are kept of them
     levels: list[Level] = []
     mine, n = listed, listed.count()
     other = universe.select("key").distinct().join(listed, "key", "left_anti")
     while n:
-        if len(levels) == c.most_levels:
-            raise ValueError(f"{n} keys are left after {c.most_levels} levels; give more bits a key")
+        if len(levels) == c.most_levels or sum(x.bits for x in levels) + _bits(n, c) > c.most_bits:
+            return None
         levels.append(_level(mine, len(levels), n, c))
         wrong = store.cut(other.filter(_takes(F.col("key"), len(levels) - 1, levels[-1], c)))
         mine, other, n = wrong, mine, wrong.count()
@@ -117,23 +128,16 @@ def build(listed: DataFrame, universe: DataFrame, c: Cascade) -> list[Level]:
 Listed = DataFrame | list[tuple[str, str]]
 
 
-def _cascades(spark: SparkSession, rows: DataFrame, table: Listed, c: Cascade) -> tuple[Column, dict[str, list[Level]]]:
-    """The keys that a host and path ask of a table (key, verdict), and for each verdict the cascade of its keys."""
+def _checked(spark: SparkSession, table: Listed) -> DataFrame:
+    """A table of listed keys (key, verdict), each once."""
     if isinstance(table, list):
         table = spark.createDataFrame(table, "key string, verdict string")
     table = store.cut(table.select(F.col("key").cast("string"), F.col("verdict").cast("string")).distinct())
-    at = F.instr("key", "/")
-    if not table.filter(F.col("key").isNull() | F.col("verdict").isNull() | (at == 0)).isEmpty():
+    if not table.filter(F.col("key").isNull() | F.col("verdict").isNull() | (F.instr("key", "/") == 0)).isEmpty():
         raise ValueError("a listed key is a host and the beginning of a path, with a verdict")
     if not table.groupBy("key").count().filter("count > 1").isEmpty():
         raise ValueError("a key is listed with two verdicts")
-    # at most as many as the longest path has characters
-    lengths = sorted(r["n"] for r in table.select((F.length("key") - at + 1).alias("n")).distinct().collect())
-    asked = keys_of(F.col("host"), F.col("path"), lengths) if lengths else F.array().cast("array<string>")
-    # a host alone asks for few keys, so copies of a host and path are taken together first
-    universe = rows.select("host", "path").distinct().select(F.explode(asked).alias("key"))
-    verdicts = sorted(r["verdict"] for r in table.select("verdict").distinct().collect())
-    return asked, {v: build(table.filter(F.col("verdict") == v), universe, c) for v in verdicts}
+    return table
 
 
 def _hit(asked: Column, cascades: dict[str, list[Level]], c: Cascade) -> Column:
@@ -148,6 +152,36 @@ def _hit(asked: Column, cascades: dict[str, list[Level]], c: Cascade) -> Column:
     return let(asked, lambda keys: F.get(F.filter(F.transform(keys, fit), lambda x: x["verdict"].isNotNull()), F.lit(0)))
 
 
+def _joined(places: DataFrame, asked: Column, table: DataFrame, out: str) -> DataFrame:
+    """host, path, out: the first listed key of each place, by a join on the key; places without one are left out."""
+    keys = places.select("host", "path", F.posexplode(asked).alias("at", "key"))
+    first = F.min(F.struct("at", "key", "verdict"))
+    found = keys.join(table, "key").groupBy("host", "path").agg(first.alias("x"))
+    return store.cut(found.select("host", "path", F.struct(F.col("x.key").alias("rule"), F.col("x.verdict").alias("verdict")).alias(out)))
+
+
+def _with_hit(rows: DataFrame, table: Listed, c: Cascade, out: str) -> DataFrame:
+    """rows with the listed key that decides each, and its verdict, as `out`; null if none does."""
+    table = _checked(rows.sparkSession, table)
+    # at most as many as the longest path has characters
+    lengths = sorted(r["n"] for r in table.select((F.length("key") - F.instr("key", "/") + 1).alias("n")).distinct().collect())
+    if not lengths:
+        return rows.withColumn(out, F.lit(None).cast("struct<rule:string,verdict:string>"))
+    asked = keys_of(F.col("host"), F.col("path"), lengths)
+    # a host alone asks for few keys, so copies of a host and path are taken together first
+    places = rows.select("host", "path").distinct()
+    universe = places.select(F.explode(asked).alias("key"))
+    cascades: dict[str, list[Level]] = {}
+    bits = 0
+    for verdict in (r["verdict"] for r in table.select("verdict").distinct().orderBy("verdict").limit(c.most_verdicts + 1).collect()):
+        levels = build(table.filter(F.col("verdict") == verdict), universe, c) if len(cascades) < c.most_verdicts else None
+        bits += sum(x.bits for x in levels or ())
+        if levels is None or bits > c.most_bits:
+            return rows.join(_joined(places, asked, table, out), ["host", "path"], "left")
+        cascades[verdict] = levels
+    return rows.withColumn(out, _hit(asked, cascades, c))
+
+
 def judged(pages: DataFrame, rules: Listed, params: Cascade | None = None, id_col: str = "page_id", url_col: str = "url", default: str = "allow", listed: Listed | None = None) -> DataFrame:
     """id_col, host, path, rule, verdict: every URL under rules (key, verdict).
 
@@ -159,11 +193,11 @@ def judged(pages: DataFrame, rules: Listed, params: Cascade | None = None, id_co
     alike; other columns are not read.  Keys listed twice in one table must agree.
     """
     c = params or Cascade()
-    spark: SparkSession = pages.sparkSession
-    rows = pages.select(F.col(id_col), F.col(url_col).cast("string").alias("url"))
-    rows = rows.select(id_col, host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    out = rows.select(id_col, "host", "path", _hit(*_cascades(spark, rows, rules, c), c).alias("hit"))
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
+    rows = rows.select("id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    rows = _with_hit(rows, rules, c, "hit")
     rest = F.lit(None).cast("string")
     if listed is not None:
-        rest = F.when(F.col("hit").isNull(), _hit(*_cascades(spark, rows, listed, c), c)["verdict"])
-    return out.select(id_col, "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", rest, F.lit(default)).alias("verdict"))
+        rows = _with_hit(rows, listed, c, "more")
+        rest = F.when(F.col("hit").isNull(), F.col("more.verdict"))
+    return rows.select(F.col("id").alias(id_col), "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", rest, F.lit(default)).alias("verdict"))
