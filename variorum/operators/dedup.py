@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from variorum.functions import align as A
 from variorum.functions import text as T
+from variorum.operators import ordered, pagewise
 from variorum.operators.spans import BOOK, spread
 from variorum.params import DEFAULT, Params
 from variorum.scratch import checkpoint_folder
@@ -79,21 +80,26 @@ def boundary_overlap(tail: Column, head: Column, params: Params = DEFAULT) -> Co
     return A.best_boundary_overlap(F.coalesce(blocks, F.array().cast(f"array<{A.BLOCK}>")), F.size(t), params)
 
 
-def _round(state: DataFrame, book: Sequence[str], params: Params) -> DataFrame:
-    """Every page recomputed from its original blocks and its predecessors' current ones."""
-    w = Window.partitionBy(*book).orderBy("page_rank")
-    para_sets = F.transform(F.filter("cur", lambda b: b["type"] == "paragraph"), lambda b: token_set(b["text"]))
-    rows = state.withColumn("_sets", para_sets).withColumn("_prev", F.lag("cur").over(w)).withColumn("_has", F.lag(F.lit(True)).over(w))
-    first_sets = F.first("_sets").over(w)
+def _alone(pages: DataFrame, book: Sequence[str], params: Params, width: int) -> DataFrame:
+    """Every page as its predecessors' original texts would leave it: new, action, n_trimmed.
+
+    Pages are dealt in stretches of ``width``; the last pages of a stretch also go to the next one.
+    """
+    back = params.lookback + 1
+    rows = _with_context(pages.withColumn("_part", F.floor(F.col("_idx") / F.lit(float(width)))), "_part", F.col("_idx") % width >= width - back)
+    w = Window.partitionBy(*book, "_part").orderBy("_idx")
+    para_sets = F.transform(F.filter("orig", lambda b: b["type"] == "paragraph"), lambda b: token_set(b["text"]))
+    rows = rows.withColumn("_sets", para_sets).withColumn("_prev", F.lag("orig").over(w)).withColumn("_has", F.lag(F.lit(True)).over(w))
     # the page right before is not looked at, except when it is the first page
-    back = [F.coalesce(F.lag("_sets", d).over(w), F.when(F.col("_has"), first_sets)) for d in range(2, params.lookback + 2)]
-    for i, c in enumerate(back):
+    sets = [F.coalesce(F.lag("_sets", d).over(w), F.when(F.col("_has"), F.first("_sets").over(w))) for d in range(2, back + 1)]
+    for i, c in enumerate(sets):
         rows = rows.withColumn(f"_p{i}", c)
+    rows = rows.filter("_own")
     empty = F.array().cast("array<array<string>>")
-    prior = F.concat(*[F.coalesce(f"_p{i}", empty) for i in range(len(back))])
-    rows = rows.withColumn("_tail", T.tokens_latin(T.blocks_text(F.coalesce("_prev", F.slice("cur", 1, 0)))))
+    prior = F.concat(*[F.coalesce(f"_p{i}", empty) for i in range(len(sets))])
+    rows = rows.withColumn("_tail", T.tokens_latin(T.blocks_text(F.coalesce("_prev", F.slice("orig", 1, 0)))))
     rows = rows.withColumn("_head", T.tokens_latin(T.blocks_text(F.col("orig")))).withColumn("_prior", prior)
-    rows = spread(rows.drop("_prev", "_sets", *[f"_p{i}" for i in range(len(back))]), [*book, "page_rank"])
+    rows = spread(rows.drop("_prev", "_sets", "_own", "_part", *[f"_p{i}" for i in range(len(sets))]), [*book, "_idx"])
     rows = rows.withColumn("_o", boundary_overlap(F.col("_tail"), F.col("_head"), params))
     live = (F.size("_tail") > 0) & (F.size("_head") > 0) & F.coalesce("_has", F.lit(False))
     base = F.least(F.size("_tail"), F.size("_head"), F.lit(params.overlap_ratio_window))
@@ -101,24 +107,63 @@ def _round(state: DataFrame, book: Sequence[str], params: Params) -> DataFrame:
     pruned = F.filter("orig", lambda b: ~((b["type"] == "paragraph") & F.coalesce(is_repeat(b["text"], F.col("_prior"), params), F.lit(False))))
     new = F.when(trims, trim_words(F.col("orig"), F.col("_o.head_start"), F.col("_o.match_len"))).when(live, pruned).otherwise(F.col("orig"))
     action = F.when(trims, "overlap").when(live & (F.size(pruned) < F.size("orig")), "repeat").otherwise("kept")
-    return rows.select(*book, "page_rank", "orig", new.alias("new"), "cur", action.alias("action"), F.when(trims, F.col("_o.match_len")).otherwise(0).alias("n_trimmed"))
+    out = rows.select(*book, "page_rank", "_idx", "orig", new.alias("new"), action.alias("action"), F.when(trims, F.col("_o.match_len")).otherwise(0).alias("n_trimmed"))
+    return out.withColumn("changed", ~F.col("new").eqNullSafe(F.col("orig")))
+
+
+def _with_context(rows: DataFrame, part: str, also_next: Column) -> DataFrame:
+    """Rows in their part, and those that the next part has to see there too, not as its own."""
+    own = F.struct(F.col(part).alias("p"), F.lit(True).alias("own"))
+    both = F.array(own, F.struct((F.col(part) + 1).alias("p"), F.lit(False).alias("own")))
+    out = rows.withColumn("_x", F.explode(F.when(also_next, both).otherwise(F.array(own))))
+    return out.withColumn(part, F.col("_x.p")).withColumn("_own", F.col("_x.own")).drop("_x")
 
 
-def deduplicate(pages: DataFrame, book: Sequence[str] = BOOK, params: Params = DEFAULT) -> DataFrame:
+def deduplicate(pages: DataFrame, book: Sequence[str] = BOOK, params: Params = DEFAULT, width: int = 256, calm: int = 8) -> DataFrame:
     """K1-K3: pages from left to right, each compared with its already trimmed predecessors.
 
-    The left-to-right result is the only fixpoint of "page = f(original page,
-    predecessors' results)", so all pages are recomputed at once until none
-    changes; the number of rounds is the longest chain of trims that feed each
-    other, not the number of pages.  ``pages`` has page_rank and content_blocks.
+    First every page is worked out against its predecessors' original texts, all at once.  That is
+    its result unless one of them changed.  So books are cut into segments at pages before which
+    ``calm`` pages were left as they were, and a segment is passed through in order with the last
+    pages' results as state; only pages after a changed one are worked out again.  A segment
+    starts from unchanged pages; where the one before ends with changed ones after all, the whole
+    book is passed through in one go.  ``pages`` has page_rank (an integer, unique in its book)
+    and content_blocks.
     """
+    book = list(book)
+    back = params.lookback + 1
+    if calm < back or width <= back:
+        raise ValueError(f"segments need {back} pages of context")
     plain = F.transform("content_blocks", lambda b: F.struct(b["type"].alias("type"), b["text"].alias("text")))
-    state = pages.select(*book, "page_rank", plain.alias("orig"), plain.alias("cur"))
-    while True:
-        done = _materialise(_round(state, book, params))
-        if done.filter(~F.col("new").eqNullSafe(F.col("cur"))).isEmpty():
-            return done.select(*book, "page_rank", F.col("cur").alias("content_blocks"), "action", "n_trimmed")
-        state = done.select(*book, "page_rank", "orig", F.col("new").alias("cur"))
+    rows = ordered.with_bucket(pages.select(*book, "page_rank", plain.alias("orig")), "page_rank", name="_b")
+    rows = ordered.row_number(rows, book, ["page_rank"], "_idx", "_b").drop("_b").withColumn("_idx", F.col("_idx").cast("long") - 1)
+    alone = _materialise(_alone(rows, book, params, width))
+    # a segment may start at every 16th page that has been calm for long enough
+    marks = ordered.with_bucket(alone.select(*book, "_idx", "changed"), "_idx", name="_b")
+    marks = ordered.running_max(marks, book, ["_idx"], F.when(F.col("changed"), F.col("_idx")), "_last", "_b")
+    fresh = (F.col("_idx") == 0) | ((F.col("_idx") % 16 == 0) & (F.col("_idx") - F.coalesce("_last", F.lit(-calm - 1)) > calm))
+    marks = ordered.islands(marks, book, ["_idx"], fresh, "_seg", "_b").select(*book, "_idx", "_seg")
+    joined = alone.join(marks, [*book, "_idx"])
+    starts = marks.groupBy(*book, "_seg").agg(F.min("_idx").alias("_start"))
+    ahead = starts.select(*book, (F.col("_seg") - 1).alias("_seg"), F.col("_start").alias("_end"))
+    joined = joined.join(ahead, [*book, "_seg"], "left").withColumn("_end", F.coalesce("_end", F.lit(1 << 62)))
+    tail = F.col("_idx") >= F.col("_end") - back
+    dealt = _with_context(joined.withColumn("_tail", tail), "_seg", tail)
+    done = _materialise(_passed(dealt, book, params))
+    uncalm = done.filter("_tail and changed").select(*book).distinct()
+    again = _passed(alone.join(uncalm, book, "left_semi").withColumn("_seg", F.lit(0).cast("long")).withColumn("_own", F.lit(True)).withColumn("_tail", F.lit(False)), book, params)
+    out = done.join(uncalm, book, "left_anti").unionByName(again)
+    return out.select(*book, "page_rank", F.col("new").alias("content_blocks"), "action", "n_trimmed")
+
+
+def _passed(rows: DataFrame, book: Sequence[str], params: Params) -> DataFrame:
+    """The pages of each segment, passed through in order."""
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    names = [*book, "_seg", "_idx", "page_rank", "new", "action", "n_trimmed", "changed", "_tail"]
+    schema = ", ".join(f"`{c}` {types[c]}" for c in names)
+    dealt = rows.select(*names, "orig", "_own").repartition(F.xxhash64(*book, "_seg")).sortWithinPartitions(*book, "_seg", "_idx")
+    n = len(book) + 1
+    return dealt.mapInArrow(lambda b: pagewise.passed(b, n, params), schema)
 
 
 def duplicate_blocks(pairs: DataFrame, blocks: DataFrame, book: Sequence[str] = BOOK) -> DataFrame:
