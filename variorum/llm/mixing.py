@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from variorum.llm import store
+from variorum.operators import ordered
 
 PRIME = (1 << 31) - 1
 _GAP = r"\x20\x09-\x0D"
@@ -65,6 +66,22 @@ def permuted(x: Column, n: Column, salt: Column, p: Mix) -> Column:
     return F.aggregate(keys, x.cast("long"), swap)
 
 
+def permuted_rows(df: DataFrame, x: Column, n: Column, salt: Column, out: str, p: Mix) -> DataFrame:
+    """df with `permuted` of x as a column: the same rounds one after another, so that they run as generated code.
+
+    Each round's result comes out of an array of one, as the optimizer would else write every round
+    into the next, several times.
+    """
+    kept = df.columns
+    df = df.select("*", F.explode(F.array(x.cast("long"))).alias(out))
+    for k, a, b in p.round_keys():
+        df = df.withColumn("__other", F.pmod(F.lit(k).cast("long") + salt * 1_000_003 - F.col(out), n))
+        coin = _spread(F.greatest(out, "__other") + salt, F.lit(a).cast("long"), F.lit(b).cast("long"))
+        swapped = F.when(F.floor(coin / F.lit(128.0)) % 2 == 1, F.col("__other")).otherwise(F.col(out))
+        df = df.select(*kept, F.explode(F.array(swapped)).alias(out))
+    return df
+
+
 def sources(sized: DataFrame, p: Mix) -> DataFrame:
     """source, sid, weight, source_size, target, blocks, wanted: one row per source.
 
@@ -92,34 +109,40 @@ def sources(sized: DataFrame, p: Mix) -> DataFrame:
     )
 
 
+#: parts of a slot in which remainders are counted, so that their sums are exact
+UNITS = 1 << 32
+
+
 def drawn(plan: DataFrame, p: Mix) -> DataFrame:
-    """shard, sid, blocks, first, n: how many slots of each shard a source fills, and how many it filled before."""
-    every = W.partitionBy()
-    grid = (
-        plan.filter("blocks > 0").select("sid", "blocks", "wanted")
-        .withColumn("slots", F.ceil(F.sum("wanted").over(every)))
-        .withColumn("share", F.col("wanted") / F.sum("wanted").over(every))
-        .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / F.lit(float(p.shard))))))
-        .withColumn("slots", F.least(F.col("slots") - F.col("shard") * p.shard, F.lit(p.shard).cast("long")))
-        .withColumn("mean", F.col("slots") * F.col("share"))
-        .withColumn("whole", F.floor("mean"))
-        .withColumn("part", F.col("mean") - F.col("whole"))
-    )
-    row = W.partitionBy("shard")
-    upto = F.sum("part").over(row.orderBy("sid").rowsBetween(W.unboundedPreceding, 0))
-    grid = grid.withColumn("open", F.col("slots") - F.sum("whole").over(row)).withColumn("hi", upto).withColumn("lo", F.col("hi") - F.col("part"))
-    grid = grid.withColumn("lo", F.when(F.row_number().over(row.orderBy("sid")) == 1, F.lit(-1.0)).otherwise(F.col("lo"))).withColumn("sum", F.max("hi").over(row))
-    spare = grid.groupBy("shard").agg(F.max("open").alias("open"), F.max("sum").alias("sum")).filter("open > 0 and sum > 0")
-    spare = spare.select("shard", "sum", F.explode(F.sequence(F.lit(1).cast("long"), F.col("open"))).alias("slot"))
-    chance = _spread(F.col("shard") * 4_093 + F.col("slot"), F.lit(p.round_keys()[0][1]).cast("long"), F.lit(p.seed).cast("long")) / F.lit(float(PRIME))
-    spare = spare.select(F.col("shard").alias("s"), "slot", (chance * F.col("sum")).alias("u"))
-    # a draw falls to the last source whose interval has begun
-    picks = spare.join(grid.select("shard", "sid", "lo", "part"), (F.col("s") == F.col("shard")) & (F.col("lo") <= F.col("u")) & (F.col("part") > 0))
-    picks = picks.groupBy("shard", "slot").agg(F.max("sid").alias("sid"))
-    extra = picks.groupBy("shard", "sid").agg(F.count("*").alias("extra"))
-    counts = grid.select("shard", "sid", "blocks", "whole").join(extra, ["shard", "sid"], "left").withColumn("n", (F.col("whole") + F.coalesce("extra", F.lit(0))).cast("long"))
-    run = W.partitionBy("sid").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
-    counts = counts.withColumn("first", F.coalesce(F.sum("n").over(run), F.lit(0)).cast("long"))
+    """shard, sid, blocks, first, n: how many slots of each shard a source fills, and how many it filled before.
+
+    All shards but the last are of one size, so expectations are kept per size.  A source with a
+    slot or more of each shard has a row per shard; of the others only those drawn have one.
+    """
+    share = plan.filter("blocks > 0").select("sid", "blocks", "wanted")
+    total = share.agg(F.coalesce(F.sum("wanted"), F.lit(0.0)).alias("sum")).select("sum", F.ceil("sum").alias("slots"))
+    kinds = total.select("sum", F.explode(F.array(
+        F.struct(F.lit(0).alias("kind"), F.lit(p.shard).cast("long").alias("size"), F.lit(0).cast("long").alias("lo"), F.floor(F.col("slots") / F.lit(float(p.shard))).alias("hi")),
+        F.struct(F.lit(1).alias("kind"), (F.col("slots") % p.shard).alias("size"), F.floor(F.col("slots") / F.lit(float(p.shard))).alias("lo"), (F.floor(F.col("slots") / F.lit(float(p.shard))) + 1).alias("hi")),
+    )).alias("k")).select("sum", "k.*").filter("hi > lo and size > 0")
+    mean = F.col("size") * F.col("wanted") / F.col("sum")
+    each = share.crossJoin(F.broadcast(kinds)).withColumn("whole", F.floor(mean))  # two kinds of shards at most
+    each = store.cut(each.withColumn("part", F.floor((mean - F.col("whole")) * F.lit(float(UNITS)))))
+    shards = F.explode(F.sequence("lo", F.col("hi") - 1))
+    sure = each.filter("whole > 0").select(shards.alias("shard"), "sid", F.col("whole").alias("n"))
+    spare = each.groupBy("kind", "size", "lo", "hi").agg((F.col("size") - F.sum("whole")).alias("open"), F.sum("part").alias("sum"), F.count_if(F.col("part") > 0).alias("cells")).filter("open > 0 and sum > 0")
+    spare = store.cut(spare)
+    chance = F.pmod(F.xxhash64("shard", "slot", F.lit(p.seed)), F.col("sum"))
+    picks = spare.select("kind", "sum", "cells", "open", shards.alias("shard")).withColumn("slot", F.explode(F.sequence(F.lit(1).cast("long"), "open"))).withColumn("u", chance)
+    cell = lambda x: F.floor(x.cast("double") / F.col("sum") * F.col("cells"))
+    picks = picks.select("kind", "shard", "u", cell(F.col("u")).alias("cell"))
+    laid = ordered.running_sum(ordered.with_bucket(each.filter("part > 0"), "sid", name="bucket"), ["kind"], ["sid"], F.col("part"), "from", "bucket")
+    laid = laid.select("kind", "sid", "from", (F.col("from") + F.col("part")).alias("to")).join(spare.select("kind", "sum", "cells"), "kind")
+    # a source's interval lies in few cells, a draw in one
+    laid = laid.select("kind", "sid", "from", "to", F.explode(F.sequence(cell(F.col("from")), cell(F.col("to")))).alias("cell"))
+    extra = picks.join(laid, ["kind", "cell"]).filter((F.col("u") >= F.col("from")) & (F.col("u") < F.col("to"))).groupBy("shard", "sid").agg(F.count("*").alias("n"))
+    counts = sure.union(extra).groupBy("shard", "sid").agg(F.sum("n").alias("n")).join(share.select("sid", "blocks"), "sid")
+    counts = ordered.running_sum(ordered.with_bucket(counts, "shard", name="bucket"), ["sid"], ["shard"], F.col("n"), "first", "bucket").drop("bucket")
     # no block is used more than `most` times
     return counts.withColumn("n", F.least(F.col("n"), F.greatest(p.most * F.col("blocks") - F.col("first"), F.lit(0)))).filter("n > 0").select("shard", "sid", "blocks", "first", "n")
 
@@ -127,7 +150,8 @@ def drawn(plan: DataFrame, p: Mix) -> DataFrame:
 def slots(counts: DataFrame, p: Mix, tasks: int) -> DataFrame:
     """shard, sid, turn, block: the block that each drawn slot takes."""
     turn = counts.repartition(tasks).withColumn("turn", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)))
-    return turn.select("shard", "sid", "turn", permuted(F.col("turn") % F.col("blocks"), F.col("blocks"), F.col("sid"), p).alias("block"))
+    placed = permuted_rows(turn, F.col("turn") % F.col("blocks"), F.col("blocks"), F.col("sid"), "block", p)
+    return placed.select("shard", "sid", "turn", "block")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -144,7 +168,7 @@ def laid(docs: DataFrame, p: Mix, id_col: str = "doc_id", text_col: str = "text"
     plan = store.cut(sources(sized, p))
     buckets = max(1, -(-sized.count() // p.rows_per_bucket))
     rows = sized.join(plan.select("source", "sid").withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s", "source")
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    rows = rows.withColumn("bucket", F.pmod(F.col("key"), F.lit(buckets)))
     inside = W.partitionBy("sid", "bucket").orderBy("doc_id", "size", "key", "check").rowsBetween(W.unboundedPreceding, -1)
     before = W.partitionBy("sid").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     base = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("sum")).select("sid", "bucket", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("base"))
