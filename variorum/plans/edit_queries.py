@@ -57,6 +57,62 @@ def _(spark, sf):
     return apply.exact_once(docs, fixes, ["doc_id"], order=["seq"]).select("doc_id", "text")
 
 
+# a list of corrections per document: one that may be there, some that are not, one that another makes, one at the start
+_MANY = ("w[3] || ' ' || w[4]", "w[4] || 'NEW'"), ("'no ' || w[1] || ' such ' || w[2]", "'x'"), ("w[2] || 'QZX'", "'y'"), ("w[4] || 'NEW'", "'MADE ' || w[1]"), ("w[1]", "'FIRST'")
+
+
+def _many(words: str, keys, df):
+    """The same list as rows: seq, old, new."""
+    at = lambda i: F.get(words, F.lit(i - 1))
+    pairs = (
+        (F.concat(at(3), F.lit(" "), at(4)), F.concat(at(4), F.lit("NEW"))),
+        (F.concat(F.lit("no "), at(1), F.lit(" such "), at(2)), F.lit("x")),
+        (F.concat(at(2), F.lit("QZX")), F.lit("y")),
+        (F.concat(at(4), F.lit("NEW")), F.concat(F.lit("MADE "), at(1))),
+        (at(1), F.lit("FIRST")),
+    )
+    listed = F.array(*(F.struct(F.lit(k + 1).alias("seq"), o.alias("old"), n.alias("new")) for k, (o, n) in enumerate(pairs)))
+    return df.select(*keys, F.explode(listed).alias("f")).select(*keys, "f.*")
+
+
+def _sql_many_once() -> str:
+    steps = ["m0 AS (SELECT doc_id, text AS t, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS w, '' AS hits FROM documents)"]
+    for k, (old, new) in enumerate(_MANY):
+        steps.append(f"n{k} AS (SELECT *, {old} AS o, {new} AS r FROM m{k})")
+        steps.append(f"c{k} AS (SELECT *, CASE WHEN coalesce(trim(o), '') = '' OR coalesce(trim(r), '') = '' THEN -1 ELSE CAST((length(t) - length(replace(t, o, ''))) / length(o) AS INTEGER) END AS n FROM n{k})")
+        steps.append(f"m{k + 1} AS (SELECT doc_id, CASE WHEN n = 1 THEN replace(t, o, r) ELSE t END AS t, w, hits || CASE WHEN text_is_null THEN '' ELSE n || ',' END AS hits FROM (SELECT *, t IS NULL AS text_is_null FROM c{k}))")
+    return sql(*steps, select=f"SELECT doc_id, t AS text, hits FROM m{len(_MANY)}")
+
+
+@query("exact_once_many", "R9 G17", _sql_many_once())
+def _(spark, sf):
+    """Documents after a list of corrections of which most have no place in them, found by an index of the text."""
+    docs = documents(spark, sf).select("doc_id", "text").withColumn("w", T.tokens_ws(F.col("text")))
+    done = apply.exact_once(docs.select("doc_id", "text"), _many("w", ["doc_id"], docs), ["doc_id"], order=["seq"], indexed=True)
+    hits = F.when(F.col("text").isNull(), "").otherwise(F.array_join(F.transform("hits", lambda n: F.concat(n.cast("string"), F.lit(","))), ""))
+    return done.select("doc_id", "text", hits.alias("hits"))
+
+
+def _sql_many_blocks() -> str:
+    steps = [SQL_LINES, "m0 AS (SELECT l.doc_id, line_no, line AS t, list_filter(regexp_split_to_array(d.text, '\\s+'), lambda x: x <> '') AS w FROM lines l JOIN documents d USING (doc_id))"]
+    for k, (old, new) in enumerate(_MANY):
+        steps.append(f"n{k} AS (SELECT *, {old} AS o, {new} AS r FROM m{k})")
+        steps.append(f"c{k} AS (SELECT *, coalesce(trim(o), '') <> '' AND coalesce(trim(r), '') <> '' AND contains(t, o) AS has FROM n{k})")
+        steps.append(f"k{k} AS (SELECT *, count(*) FILTER (has) OVER (PARTITION BY doc_id) AS n FROM c{k})")
+        steps.append(f"m{k + 1} AS (SELECT doc_id, line_no, w, CASE WHEN n = 1 AND has THEN substring(t, 1, instr(t, o) - 1) || r || substring(t, instr(t, o) + length(o)) ELSE t END AS t FROM k{k})")
+    return sql(*steps, select=f"SELECT doc_id, line_no AS block_idx, t AS text FROM m{len(_MANY)}")
+
+
+@query("one_block_many", "R11 J9", _sql_many_blocks())
+def _(spark, sf):
+    """The same list where a correction fires if exactly one line of the document has its phrase."""
+    docs = documents(spark, sf).filter(F.col("text").isNotNull()).select("doc_id", T.tokens_ws(F.col("text")).alias("w"))
+    rows = lines(spark, sf).select("doc_id", F.col("line_no").alias("block_idx"), F.col("line").alias("text"))
+    done = apply.one_block(rows, _many("w", ["doc_id"], docs), ["doc_id"], order=["seq"], block_order=["block_idx"], indexed=True)
+    out = done.select("doc_id", F.explode(F.arrays_zip(F.col("places").alias("p"), F.col("texts").alias("text"))).alias("z"))
+    return out.select("doc_id", "z.p.block_idx", "z.text")
+
+
 def _sql_one_block(scope: str) -> str:
     return sql(SQL_LINES, f"""
 b AS (SELECT doc_id, CAST(line_no // 5 + 1 AS INTEGER) AS page_number, line_no % 5 AS i, line FROM lines),
