@@ -76,22 +76,36 @@ def fold_keeping_tokens(text: Column) -> Column:
     return F.when(low.rlike(NON_ASCII), F.regexp_replace(t, NON_ASCII, "")).otherwise(low)
 
 
+_EDGES = r"^\p{Punct}+|\p{Punct}+$"
+# the same on every word of a blank-joined string
+_WORD_EDGES = r"(?<![^ ])\p{Punct}+|\p{Punct}+(?![^ ])"
+# characters that fold to something with a blank in it
+_BLANKS = f"[{''.join(s for s, d in (*zip(_NFKD_SRC, _NFKD_DST), *_NFKD_MULTI) if ' ' in d)}]"
+
+
+def _strong(c: Column, edges: str) -> Column:
+    def ascii_only(low: Column) -> Column:
+        # one literal, each entry a character followed by what it expands to
+        pairs = F.split(F.lit("\u0002".join(s + d for s, d in _NFKD_MULTI)), "\u0002")
+        expanded = lambda t: F.aggregate(pairs, t, lambda acc, p: F.replace(acc, F.left(p, F.lit(1)), F.substring(p, 2, 99)))
+        long = lambda t: F.when(t.rlike(_NFKD_LONG), expanded(t)).otherwise(t)
+        return let(F.translate(low, _NFKD_SRC, _NFKD_DST), lambda t: F.regexp_replace(long(t), NON_ASCII, ""))
+
+    # most words are ASCII already
+    folded = let(F.lower(c), lambda low: F.when(low.rlike(NON_ASCII), ascii_only(low)).otherwise(low))
+    return F.regexp_replace(F.replace(folded, F.lit("'"), F.lit("")), edges, "")
+
+
 def fold_strong(c: Column) -> Column:
     """As N1 with compatibility forms expanded, apostrophes and edge punctuation dropped."""
-    low = F.lower(c)
-    t = F.translate(low, _NFKD_SRC, _NFKD_DST)
-    # one literal, each entry a character followed by what it expands to
-    pairs = F.split(F.lit("\u0002".join(s + d for s, d in _NFKD_MULTI)), "\u0002")
-    expanded = F.aggregate(pairs, t, lambda acc, p: F.replace(acc, F.left(p, F.lit(1)), F.substring(p, 2, 99)))
-    t = F.when(t.rlike(_NFKD_LONG), expanded).otherwise(t)
-    t = F.when(t.rlike(NON_ASCII), F.regexp_replace(t, NON_ASCII, "")).otherwise(t)
-    t = F.replace(t, F.lit("'"), F.lit(""))
-    return F.regexp_replace(t, r"^\p{Punct}+|\p{Punct}+$", "")
+    return _strong(c, _EDGES)
 
 
 def fold_strong_set(tokens: Column) -> Column:
-    """N35 (set form): distinct non-empty N2 values."""
-    return F.array_distinct(F.filter(F.transform(tokens, fold_strong), lambda x: x != ""))
+    """N35 (set form): distinct non-empty N2 values, folded as one string unless a fold has blanks in it."""
+    full = lambda values: F.array_distinct(F.filter(values, lambda x: x != ""))
+    alone = F.transform(tokens, fold_strong)
+    return let(F.array_join(tokens, " "), lambda line: full(F.when(line.rlike(_BLANKS), alone).otherwise(F.split(_strong(line, _WORD_EDGES), " "))))
 
 
 def ascii_fold_map(c: Column) -> Column:
