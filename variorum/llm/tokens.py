@@ -56,6 +56,9 @@ class Files:
     piece_bpe: bytes = field(repr=False)
 
 
+_NONE = np.zeros(0, np.int64)
+
+
 class Encoders:
     """Both encoders with the bytes of every token."""
 
@@ -78,6 +81,8 @@ class Encoders:
         for token, i in vocabulary.items():
             self.bytes_a[i] = token
         self.bytes_b = [self._piece_bytes(i) for i in range(self._piece.get_piece_size())]
+        self.width = max(len(self.bytes_a), len(self.bytes_b))
+        self.spelled = np.array([f"{i}{mark}" for mark in ",|,;" for i in range(self.width)], object)
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
 
     def _piece_bytes(self, i: int) -> bytes:
@@ -86,16 +91,19 @@ class Encoders:
         piece = self._piece.id_to_piece(i)
         return bytes([int(piece[3:-1], 16)]) if self._piece.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, text: str) -> tuple[list[int], list[int]]:
-        """The two id lists; none where the text is empty or either does not spell a space and the text."""
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The two id lists; none where the text is empty or either does not spell a space and the text.
+
+        Byte-level tokens are pieces of the text's bytes, so their length tells; pieces are compared.
+        """
         if not text:
-            return [], []
-        whole = " " + text
-        a, b = self._byte.encode_ordinary(whole), self._piece.encode(text, num_threads=1)
-        raw = whole.encode()
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-            return [], []
-        return a, b
+            return _NONE, _NONE
+        raw = f" {text}".encode()
+        pieces = self._piece.encode(text, num_threads=1)
+        if b"".join(map(self.bytes_b.__getitem__, pieces)) != raw:
+            return _NONE, _NONE
+        a = np.array(self._byte.encode_ordinary(f" {text}"), np.int64)
+        return (a, np.array(pieces, np.int64)) if self.size_a[a].sum() == len(raw) else (_NONE, _NONE)
 
 
 @lru_cache(maxsize=2)
@@ -114,25 +122,31 @@ def linkable(e: Encoders) -> int:
     return sum(second[t[k:]] for t in e.bytes_a for k in range(len(t))) + sum(t[k:] in first for t in e.bytes_b for k in range(1, len(t)))
 
 
-def groups(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, block: int) -> Iterator[tuple[int, int]]:
-    """After how many tokens of a and of b both have ended at the same byte; the last pair is the two lengths."""
+def groups(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """After how many tokens of a and of b both have ended at the same byte; the last are the two lengths."""
     ends_a, ends_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
+    after_a: list[int] = []
+    after_b: list[int] = []
     for low in range(0, int(ends_a[-1]) if len(a) else 0, block):
         (i, j), (k, m) = (np.searchsorted(x, [low, low + block], "right") for x in (ends_a, ends_b))
         at_a = dict(zip(ends_a[i:j].tolist(), range(i + 1, j + 1)))
         at_b = dict(zip(ends_b[k:m].tolist(), range(k + 1, m + 1)))
-        for end in sorted(at_a.keys() & at_b.keys()):
-            yield at_a[end], at_b[end]
+        common = sorted(at_a.keys() & at_b.keys())
+        after_a.extend(map(at_a.__getitem__, common))
+        after_b.extend(map(at_b.__getitem__, common))
+    return np.array(after_a, np.int64), np.array(after_b, np.int64)
 
 
-def _spelled(a: list[int], b: list[int], cuts: list[tuple[int, int]]) -> str:
-    sa, sb = list(map(str, a)), list(map(str, b))
-    out = []
-    x = y = 0
-    for i, j in cuts:
-        out.append(f"{','.join(sa[x:i])}|{','.join(sb[y:j])}")
-        x, y = i, j
-    return ";".join(out)
+def _spelled(a: np.ndarray, b: np.ndarray, after_a: np.ndarray, after_b: np.ndarray, table: np.ndarray, width: int) -> str:
+    """The groups as text: each slice's ids of a, a bar, its ids of b; `table` holds each id with each mark behind it."""
+    n_a, n_b = np.diff(after_a, prepend=0), np.diff(after_b, prepend=0)
+    out = np.empty(len(a) + len(b), np.int64)
+    # an id of a stands behind all of b before its slice, one of b behind all of a up to its slice's end
+    out[np.arange(len(a)) + np.repeat(after_b - n_b, n_a)] = a
+    out[np.arange(len(b)) + np.repeat(after_a, n_b)] = b + 2 * width
+    out[after_a - 1 + after_b - n_b] += width
+    out[after_a - 1 + after_b] += width
+    return "".join(table[out].tolist())[:-1]
 
 
 class Counter:
@@ -171,14 +185,12 @@ def _aligned(batches: Iterator[pa.RecordBatch], files: Files, p: Align) -> Itera
         rows = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             a, b = e.encode(text or "")
-            ia, ib = np.array(a, np.int64), np.array(b, np.int64)
-            cuts = list(groups(ia, ib, e.size_a, e.size_b, p.ends))
+            after = groups(a, b, e.size_a, e.size_b, p.ends)
             # tokens have bytes, so of a slice's pairs only the last tokens end together
-            ends = np.array(cuts, np.int64).reshape(-1, 2) - 1
-            code = ia[ends[:, 0]] * width + ib[ends[:, 1]]
+            code = a[after[0] - 1] * width + b[after[1] - 1]
             seen.add(code)
-            digest = hashlib.sha256(_spelled(a, b, cuts).encode()).hexdigest() if cuts else ""
-            rows.append((True, doc, len(a), len(b), len(cuts), digest, code.astype(np.uint32).tobytes(), None, None))
+            digest = hashlib.sha256(_spelled(a, b, *after, e.spelled, e.width).encode()).hexdigest() if len(code) else ""
+            rows.append((True, doc, len(a), len(b), len(code), digest, code.astype(np.uint32).tobytes(), None, None))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
     seen.settle()
     n = len(seen.codes)
