@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from variorum.scratch import checkpoint_folder
+
 BUCKET_WIDTH = 4096
 
 
@@ -120,3 +122,23 @@ def islands(df: DataFrame, group: Sequence[str], order: Sequence[str], starts: C
             bucket: str | None = None) -> DataFrame:
     """Number of the island a row belongs to; ``starts`` marks first rows."""
     return running_sum(df, group, order, F.when(starts, 1).otherwise(0), out, bucket, inclusive=True)
+
+
+def global_rank(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    """Gapless 1-based rank of every row of the whole table in an order.
+
+    Rows are dealt by ranges of the order and sorted within; a partition's rows are numbered by
+    their place, and one count per partition gives where its numbers begin.  Equal rows get
+    different numbers in no particular order.  The sorted rows are written once, so that a lost
+    executor cannot deal them anew between the count and the numbering.
+    """
+    checkpoint_folder(df.sparkSession)
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id())
+    rows = dealt.checkpoint()
+    # the id is the partition in its upper bits and the row's place in the lower 33
+    part = F.shiftright("_row", 33)
+    counts = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))  # one row per partition
+    placed = rows.withColumn("_part", part).join(counts, "_part")
+    return placed.withColumn(out, F.col("_before") + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1).cast("long")) + 1).drop("_row", "_part", "_before")

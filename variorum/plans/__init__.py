@@ -4,7 +4,7 @@ from importlib import import_module
 from types import ModuleType
 
 _MODULES = (
-    "text_queries", "line_queries", "assembly_queries", "join_queries", "vote_queries", "diff_queries", "edit_queries", "log_queries", "long_queries", "numbering_queries",
+    "text_queries", "line_queries", "assembly_queries", "join_queries", "vote_queries", "diff_queries", "edit_queries", "log_queries", "long_queries", "numbering_queries", "report_queries",
 )
 
 
