@@ -7,6 +7,7 @@ any script" the class is spelled out as ``[\\p{L}\\p{N}_]``.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -246,6 +247,18 @@ def position_pct(i: Column, total: Column) -> Column:
     return F.when(total > 0, F.bround(100 * i / total, 0).cast("int"))
 
 
+def positions(text: Column, phrase: str) -> Column:
+    """0-based places of all hits of a phrase, from the left and without overlap."""
+
+    def places(parts: Column) -> Column:
+        # a running sum of the parts' lengths, in one pass
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        step = lambda acc, p: F.struct((acc["at"] + F.length(p) + len(phrase)).alias("at"), F.concat(acc["out"], F.array(acc["at"] + F.length(p))).alias("out"))
+        return F.aggregate(F.slice(parts, F.lit(1), F.size(parts) - 1), start, step)["out"]
+
+    return let(F.split(text, re.escape(phrase)), places)
+
+
 def excerpt(text: Column, start: Column, end: Column, ctx: int = DEFAULT.excerpt_context) -> Column:
     """Text around [start, end) with ellipses where it was cut (0-based offsets)."""
     lo = F.greatest(F.lit(0), start - ctx)

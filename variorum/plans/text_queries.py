@@ -262,6 +262,20 @@ def _(spark, sf):
     return rows.select("doc_id", "line_no", T.excerpt(F.col("line"), F.col("s"), F.col("s") + 2).alias("excerpt"), T.position_pct(F.col("s"), F.length("line")).alias("pct"))
 
 
+@query("excerpts_all", "N20 N19 P33", sql(SQL_LINES, """
+w AS (SELECT doc_id, line_no, line, string_split(line, ', ') AS parts FROM lines WHERE contains(line, ', ')),
+h AS (SELECT doc_id, line_no, line, k, list_sum(list_transform(parts[1:k], lambda x: length(x)))::INTEGER + 2 * (k - 1) AS s FROM (SELECT *, unnest(range(1, len(parts)))::INTEGER AS k FROM w)),
+c AS (SELECT *, greatest(0, s - 40) AS lo, least(length(line), s + 2 + 40) AS hi FROM h)""", select="""
+SELECT doc_id, line_no, k AS hit_no, s::INTEGER AS at, CASE WHEN lo > 0 THEN '…' ELSE '' END || trim(substring(line, lo + 1, hi - lo)) || CASE WHEN hi < length(line) THEN '…' ELSE '' END AS excerpt,
+  CAST(round_even(100 * s / length(line), 0) AS INTEGER) AS pct FROM c"""))
+def _(spark, sf):
+    """An excerpt around every hit of a phrase, not only a line's first."""
+    rows = lines(spark, sf).filter(F.col("line").contains(", "))
+    rows = rows.select("doc_id", "line_no", "line", F.posexplode(T.positions(F.col("line"), ", ")).alias("k", "s"))
+    excerpt, pct = T.excerpt(F.col("line"), F.col("s"), F.col("s") + 2), T.position_pct(F.col("s"), F.length("line"))
+    return rows.select("doc_id", "line_no", (F.col("k") + 1).alias("hit_no"), F.col("s").alias("at"), excerpt.alias("excerpt"), pct.alias("pct"))
+
+
 @query("context_window", "N21", f"""
 WITH t AS (SELECT doc_id, {_words('text')} AS w FROM documents), p AS (SELECT doc_id, w, unnest(range(len(w))) AS i FROM t)
 SELECT doc_id, CAST(i AS INTEGER) AS pos, array_to_string(w[greatest(1, i - 6):i], ' ') AS left_ctx, array_to_string(w[i + 2:i + 8], ' ') AS right_ctx
