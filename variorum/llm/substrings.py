@@ -134,12 +134,14 @@ def duplicate_runs(docs: DataFrame, id_col: str, text_col: str, p: Parse) -> Dat
     """doc, s, m: the m windows from word s on also start in a document of smaller id."""
     every = blocks(docs, id_col, text_col, p)
     # anchors that two documents have; no other window can be shared
-    shared = every.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("anchor")
+    # aggregates are cut off before they are joined, so that Spark may split a hot anchor's other side
+    shared = store.cut(every.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("anchor"))
     met = store.cut(every.join(shared, "anchor"))
     index = met.groupBy("anchor", "ca", "cb").agg(F.min("doc").alias("owner"))
     # the anchor has several blocks: windows of one may lie in another
     mixed = index.groupBy("anchor").agg(F.min(F.struct("ca", "cb")).alias("x"), F.max(F.struct("ca", "cb")).alias("y")).filter("x <> y").select("anchor", F.lit(True).alias("mixed"))
-    placed = store.cut(met.join(index.join(mixed, "anchor", "left"), ["anchor", "ca", "cb"]).select("doc", "s", "m", "owner", F.coalesce("mixed", F.lit(False)).alias("mixed")).filter("mixed or owner < doc"))
+    index = store.cut(index.join(mixed, "anchor", "left"))
+    placed = store.cut(met.join(index, ["anchor", "ca", "cb"]).select("doc", "s", "m", "owner", F.coalesce("mixed", F.lit(False)).alias("mixed")).filter("mixed or owner < doc"))
     whole = placed.filter("owner < doc").select("doc", "s", "m")
     edge = _by_doc(placed.filter("mixed and owner = doc").select("doc", "s", "m"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
@@ -152,7 +154,7 @@ def duplicate_runs(docs: DataFrame, id_col: str, text_col: str, p: Parse) -> Dat
 
     texts = texts.filter("doc is not null").withColumn("at", some.place(F.col("doc"))).mapInArrow(sifted, "doc long, text string")
     single = store.cut(texts.join(edge, "doc").mapInArrow(lambda b: _windows(b, p), "doc long, s int, wa long, wb long"))
-    first = single.groupBy("wa", "wb").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).filter("owner < last").select("wa", "wb", "owner")
+    first = store.cut(single.groupBy("wa", "wb").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).filter("owner < last").select("wa", "wb", "owner"))
     found = single.join(first, ["wa", "wb"]).filter("owner < doc").select("doc", "s", F.lit(1).alias("m"))
     return whole.union(found)
 
