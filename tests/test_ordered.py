@@ -44,3 +44,14 @@ def test_alternate_chain(rows, width):
     for r in sorted(rows.collect(), key=lambda r: r.k):
         last[r.g] = r.f and not (r.c and last.get(r.g, False))
         assert got[(r.g, r.k)] == last[r.g]
+
+
+def test_global_rank(spark):
+
+
+    rows = [(i * 7919 % 1000, "x" if i % 3 else None) for i in range(1000)] + [(5, "y")] * 20
+    df = spark.createDataFrame(rows, "a int, b string").repartition(6)
+    got = [(r["a"], r["b"]) for r in sorted(ordered.global_rank(df, [F.col("b").desc_nulls_last(), F.col("a")], "n").collect(), key=lambda r: r["n"])]
+    assert got == sorted(got, key=lambda r: (r[1] is None, {"y": 0, "x": 1}.get(r[1]), r[0])) and len(got) == len(rows)
+    assert sorted(r["n"] for r in ordered.global_rank(df, [F.col("a")], "n").collect()) == list(range(1, len(rows) + 1))
+    assert ordered.global_rank(df.limit(0), [F.col("a")], "n").isEmpty()
