@@ -44,9 +44,13 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix of sources holds, beside the document; the mix is left in a folder `mix-*`."""
-    taken = mixing.mix(docs, out=f"{scratch.folder(spark)}/mix-{uuid.uuid4().hex}").dropDuplicates(["doc_id"])  # rows that repeat an id share one answer
-    return docs.join(taken, "doc_id").select(*COLUMNS, "size", "source_size", "target", "taken")
+    """How many words of each document the mix of sources holds, beside the document; the mix is left in a folder `mix-*`.
+
+    Rows that repeat an id share one answer, that of the row with most words; a row without an id goes.
+    """
+    found = mixing.mix(docs, out=f"{scratch.folder(spark)}/mix-{uuid.uuid4().hex}")
+    taken = found.groupBy("doc_id").agg(F.max(F.struct("size", "taken", "source_size", "target")).alias("x"))
+    return docs.join(taken, "doc_id").select(*COLUMNS, *(F.col(f"x.{c}") for c in ("size", "source_size", "target", "taken")))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
