@@ -287,12 +287,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.filter(F.col(id_col).isNotNull())
     signed = store.cut(signatures(docs, id_col, text_col, p))
     full = signed.filter("n > 0")
-    classes = full.groupBy("ka", "kb").agg(F.min("id").alias("rep"))
+    # aggregates are cut off before they are joined, so that Spark may split a large class or bucket
+    classes = store.cut(full.groupBy("ka", "kb").agg(F.min("id").alias("rep")))
     # the row of a class's smallest id stands for it
-    one = full.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-    one = store.cut(one.select("id", "n", "bands", "fp"))
+    # rows that share an id but not the text stand with that of the least key
+    one = full.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").groupBy("id").agg(F.min_by(F.struct("n", "bands", "fp"), F.struct("ka", "kb")).alias("x"))
+    one = store.cut(one.select("id", "x.n", "x.bands", "x.fp"))
     rows = one.select(F.explode("bands").alias("key"), "id")
-    heads = rows.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("many")).filter("many > 1").select("key", "head")
+    heads = store.cut(rows.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("many")).filter("many > 1").select("key", "head"))
     shared = store.cut(rows.join(heads, "key"))
     stars = store.cut(_alike(shared.filter("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b")).distinct(), one, p))
     links = store.cut(_confirm(stars, docs, id_col, text_col, p))
