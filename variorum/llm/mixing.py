@@ -228,7 +228,7 @@ def mix(docs: DataFrame, params: Mix | None = None, id_col: str = "doc_id", text
     """doc_id, size, source_size, target, taken: one row per row of `docs`, how many of its words the mix holds.
 
     The words are counted in the rows of the mix (`mixture`), which is written to the folder
-    `out` if one is given.  A null text has size 0 and is taken 0 times; a null source is a
+    `out`, in zstd, if one is given.  A null text has size 0 and is taken 0 times; a null source is a
     source, the last.  Repeated rows are documents of their own.  Other columns are not read.
     """
     p = params or Mix()
@@ -236,7 +236,7 @@ def mix(docs: DataFrame, params: Mix | None = None, id_col: str = "doc_id", text
     rows = store.cut(rows)
     filled = _filled(docs, rows, plan, p, id_col, text_col, source_col)
     if out is not None:
-        filled.withColumn("text", F.array_join(F.transform("parts", lambda x: x["text"]), "\n")).write.parquet(out)
+        filled.withColumn("text", F.array_join(F.transform("parts", lambda x: x["text"]), "\n")).write.parquet(out, compression="zstd")
         filled = docs.sparkSession.read.parquet(out)
     # rows laid from one start differ in their size, but for empty ones
     taken = filled.select("sid", F.explode("parts").alias("x")).groupBy("sid", F.col("x.start").alias("start")).agg(F.sum("x.n").alias("taken"))
