@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from variorum.functions import align as A
 from variorum.functions import text as T
 from variorum.operators import ordered, pagewise
-from variorum.operators.spans import BOOK, spread
+from variorum.operators.spans import BOOK
 from variorum.params import DEFAULT, Params
 from variorum.scratch import checkpoint_folder
 
@@ -81,12 +81,14 @@ def boundary_overlap(tail: Column, head: Column, params: Params = DEFAULT) -> Co
 
 
 def _alone(pages: DataFrame, book: Sequence[str], params: Params, width: int) -> DataFrame:
-    """Every page as its predecessors' original texts would leave it: new, action, n_trimmed.
+    """Every page as its predecessors' original texts would leave it: new (null if unchanged), action, n_trimmed, changed.
 
     Pages are dealt in stretches of ``width``; the last pages of a stretch also go to the next one.
     """
     back = params.lookback + 1
     rows = _with_context(pages.withColumn("_part", F.floor(F.col("_idx") / F.lit(float(width)))), "_part", F.col("_idx") % width >= width - back)
+    # dealt once, as bare pages: token sets and tails are made and used where the pages are; the count is explicit as in `spread`
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *book, "_part")
     w = Window.partitionBy(*book, "_part").orderBy("_idx")
     para_sets = F.transform(F.filter("orig", lambda b: b["type"] == "paragraph"), lambda b: token_set(b["text"]))
     rows = rows.withColumn("_sets", para_sets).withColumn("_prev", F.lag("orig").over(w)).withColumn("_has", F.lag(F.lit(True)).over(w))
@@ -99,7 +101,6 @@ def _alone(pages: DataFrame, book: Sequence[str], params: Params, width: int) ->
     prior = F.concat(*[F.coalesce(f"_p{i}", empty) for i in range(len(sets))])
     rows = rows.withColumn("_tail", T.tokens_latin(T.blocks_text(F.coalesce("_prev", F.slice("orig", 1, 0)))))
     rows = rows.withColumn("_head", T.tokens_latin(T.blocks_text(F.col("orig")))).withColumn("_prior", prior)
-    rows = spread(rows.drop("_prev", "_sets", "_own", "_part", *[f"_p{i}" for i in range(len(sets))]), [*book, "_idx"])
     rows = rows.withColumn("_o", boundary_overlap(F.col("_tail"), F.col("_head"), params))
     live = (F.size("_tail") > 0) & (F.size("_head") > 0) & F.coalesce("_has", F.lit(False))
     base = F.least(F.size("_tail"), F.size("_head"), F.lit(params.overlap_ratio_window))
@@ -108,7 +109,8 @@ def _alone(pages: DataFrame, book: Sequence[str], params: Params, width: int) ->
     new = F.when(trims, trim_words(F.col("orig"), F.col("_o.head_start"), F.col("_o.match_len"))).when(live, pruned).otherwise(F.col("orig"))
     action = F.when(trims, "overlap").when(live & (F.size(pruned) < F.size("orig")), "repeat").otherwise("kept")
     out = rows.select(*book, "page_rank", "_idx", "orig", new.alias("new"), action.alias("action"), F.when(trims, F.col("_o.match_len")).otherwise(0).alias("n_trimmed"))
-    return out.withColumn("changed", ~F.col("new").eqNullSafe(F.col("orig")))
+    out = out.withColumn("changed", ~F.col("new").eqNullSafe(F.col("orig")))
+    return out.withColumn("new", F.when(F.col("changed"), F.col("new")))
 
 
 def _with_context(rows: DataFrame, part: str, also_next: Column) -> DataFrame:
@@ -150,18 +152,21 @@ def deduplicate(pages: DataFrame, book: Sequence[str] = BOOK, params: Params = D
     tail = F.col("_idx") >= F.col("_end") - back
     dealt = _with_context(joined.withColumn("_tail", tail), "_seg", tail)
     done = _materialise(_passed(dealt, book, params))
-    uncalm = done.filter("_tail and changed").select(*book).distinct()
+    uncalm = _materialise(done.filter("_tail and changed").select(*book).distinct())
+    kept = F.when(F.col("changed"), F.col("new")).otherwise(F.col("orig"))
+    if uncalm.isEmpty():  # as good as always; else all pages are shuffled for nothing
+        return done.select(*book, "page_rank", kept.alias("content_blocks"), "action", "n_trimmed")
     again = _passed(alone.join(uncalm, book, "left_semi").withColumn("_seg", F.lit(0).cast("long")).withColumn("_own", F.lit(True)).withColumn("_tail", F.lit(False)), book, params)
     out = done.join(uncalm, book, "left_anti").unionByName(again)
-    return out.select(*book, "page_rank", F.col("new").alias("content_blocks"), "action", "n_trimmed")
+    return out.select(*book, "page_rank", kept.alias("content_blocks"), "action", "n_trimmed")
 
 
 def _passed(rows: DataFrame, book: Sequence[str], params: Params) -> DataFrame:
     """The pages of each segment, passed through in order."""
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
-    names = [*book, "_seg", "_idx", "page_rank", "new", "action", "n_trimmed", "changed", "_tail"]
+    names = [*book, "_seg", "_idx", "page_rank", "orig", "new", "action", "n_trimmed", "changed", "_tail"]
     schema = ", ".join(f"`{c}` {types[c]}" for c in names)
-    dealt = rows.select(*names, "orig", "_own").repartition(F.xxhash64(*book, "_seg")).sortWithinPartitions(*book, "_seg", "_idx")
+    dealt = rows.select(*names, "_own").repartition(F.xxhash64(*book, "_seg")).sortWithinPartitions(*book, "_seg", "_idx")
     n = len(book) + 1
     return dealt.mapInArrow(lambda b: pagewise.passed(b, n, params), schema)
 

@@ -97,7 +97,7 @@ def step(blocks: Blocks, window: deque[Page], first: Page | None, p: Params) ->
 
 
 def passed(batches: Iterator[pa.RecordBatch], n_keys: int, p: Params) -> Iterator[pa.RecordBatch]:
-    """Rows of one segment after another, with the results of pages after a changed one worked out again."""
+    """Rows of one segment after another, with the results of pages after a changed one worked out again; `new` counts where `changed`."""
     window: deque[Page] = deque(maxlen=p.lookback + 1)
     now, first = None, None
     for batch in batches:
@@ -118,7 +118,7 @@ def passed(batches: Iterator[pa.RecordBatch], n_keys: int, p: Params) -> Iterato
                 page = Page(new, new != blocks)
                 anew[i] = new, action, n, page.changed
             else:
-                page = Page(batch.column(at["new"])[i].as_py(), changed[i])
+                page = Page(batch.column(at["new"])[i].as_py() if changed[i] else orig(), changed[i])
             window.append(page)
             if index[i] == 0:
                 first = page
@@ -129,5 +129,5 @@ def passed(batches: Iterator[pa.RecordBatch], n_keys: int, p: Params) -> Iterato
                 for i, row in anew.items():
                     values[i] = row[k]
                 columns[c] = pa.array(values, columns[c].type)
-        out = pa.RecordBatch.from_pydict({c: columns[c] for c in batch.schema.names if c not in ("orig", "_own")})
+        out = pa.RecordBatch.from_pydict({c: columns[c] for c in batch.schema.names if c != "_own"})
         yield out.filter(batch.column(at["_own"]))
