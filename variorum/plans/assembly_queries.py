@@ -83,8 +83,7 @@ def unit_blocks(spark, sf):
 
 
 def page_rows(spark, sf):
-    k = kinds(spark, sf)
-    return assemble.pages(assemble.blocks(k, BOOK, PARAMS), assemble.page_starts(k, BOOK), BOOK)
+    return assemble.pages(assemble.blocks(kinds(spark, sf), BOOK, PARAMS, markers=True), book=BOOK)
 
 
 def page_block_rows(spark, sf):
@@ -127,8 +126,8 @@ SELECT f.doc_id, f.unit_no, f.page_number, CAST(coalesce(f.page_number, 1 + coal
 FROM blocks f WHERE f.type = 'needs_review'"""))
 def _(spark, sf):
     k = kinds(spark, sf)
-    blocks = assemble.blocks(k, BOOK, PARAMS)
-    items = assemble.review_items(blocks, assemble.pages(blocks, assemble.page_starts(k, BOOK), BOOK), BOOK)
+    blocks = assemble.blocks(k, BOOK, PARAMS, markers=True)
+    items = assemble.review_items(blocks, assemble.pages(blocks, book=BOOK), BOOK)
     return items.select("doc_id", "unit_no", "page_number", F.concat_ws(",", F.transform("estimated_pages", lambda x: x.cast("string"))).alias("estimated"))
 
 
